@@ -106,7 +106,7 @@ def scan_gold(spark: SparkSession, folder: str) -> DataFrame:
 def _daily_written(spark: SparkSession, lake: Lake) -> DataFrame:
     name = "daily_transaction_summary"
     path = fresh_folder(spark, name)
-    write_table(gold.MODELS[name](lake.silver), path, gold.LAYOUTS[name])
+    write_table(gold.MODELS[name](lake.silver), path, gold.LAYOUTS[name], spread=gold.FOLDER_TASKS)
     return scan(spark, path, gold.SCHEMAS[name])
 
 

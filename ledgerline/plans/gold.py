@@ -170,6 +170,7 @@ MODELS: dict[str, Callable[[Tables], DataFrame]] = {
     "customer_360": customer_360,
 }
 LAYOUTS = {"daily_transaction_summary": ("transaction_date",)}
+FOLDER_TASKS = 32  # a day of the summary is one row per type and status, so no task can get too many rows
 
 
 SCHEMAS: dict[str, T.StructType] = {

@@ -50,7 +50,7 @@ class Lake:
     def build_gold(self, name: str) -> None:
         rows = gold.MODELS[name](self.silver)
         layout = gold.LAYOUTS.get(name, ())
-        write_table(rows, self.path("gold", name), layout)
+        write_table(rows, self.path("gold", name), layout, spread=gold.FOLDER_TASKS)
         self._written[self.path("gold", name)] = gold.SCHEMAS[name]
 
     def _table(self, layer: str, name: str, schema: T.StructType, build: Callable[[], None]) -> DataFrame:

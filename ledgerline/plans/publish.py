@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.plans.gold import FOLDER_TASKS
 from ledgerline.sources.catalog import scan_table
 
 
@@ -55,11 +56,13 @@ def guard(source: DataFrame, name: str) -> None:
 
 
 def prepare(source: DataFrame, target: Target, files: int | None = None) -> DataFrame:
-    """Choose the number of output files. By default Spark does, from the data's size, splitting large days."""
-    keys = [F.col(target.partition)] if target.partition else []
-    if files is None:
-        return source.hint("rebalance", *keys)
-    return source.repartition(files, *keys)
+    """Deal the rows out to write tasks: all rows of a day to one task, a table without days by its size.
+
+    Published tables are aggregates, so a day is a few rows. `files` fixes the number of tasks.
+    """
+    if target.partition:
+        return source.repartition(files or FOLDER_TASKS, target.partition)
+    return source.repartition(files) if files else source.hint("rebalance")
 
 
 def schema_findings(source: T.StructType, target: T.StructType) -> list[tuple[str, str, str]]:

@@ -18,7 +18,7 @@ LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 @contextmanager
-def _grouped_listing(spark: SparkSession) -> Iterator[None]:
+def grouped_listing(spark: SparkSession) -> Iterator[None]:
     """List many folders in a few tasks per core; the default starts one task per folder."""
     before = spark.conf.get(LISTING)
     spark.conf.set(LISTING, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
@@ -30,13 +30,13 @@ def _grouped_listing(spark: SparkSession) -> Iterator[None]:
 
 def scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet file, a flat directory or a directory laid out by `column=value` folders."""
-    with _grouped_listing(spark):
+    with grouped_listing(spark):
         return spark.read.schema(schema).parquet(path)
 
 
 def scan_tree(spark: SparkSession, pattern: str, base: str, schema: T.StructType) -> DataFrame:
     """Files under a wildcard pattern, keeping the partition columns of the folders below `base`."""
-    with _grouped_listing(spark):
+    with grouped_listing(spark):
         return spark.read.schema(schema).option("basePath", base).parquet(pattern)
 
 
@@ -45,15 +45,21 @@ def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.select(*(F.col(field.name).cast(field.dataType).alias(field.name) for field in schema.fields))
 
 
-def write_table(rows: DataFrame, path: str, layout: Sequence[str] = (), gather: bool = True) -> None:
+def write_table(
+    rows: DataFrame, path: str, layout: Sequence[str] = (), gather: bool = True, spread: int | None = None
+) -> None:
     """Overwrite a Parquet table, laid out by the given columns.
 
     `gather` brings the rows of a folder together first, so that a folder does not get one small file per task. The
     rebalance hint, unlike a repartition, lets Spark split a folder that holds a large share of the rows. Input that
-    already has this layout does not need it.
+    already has this layout does not need it. `spread` is for aggregates with many folders of a few rows each, where
+    the folders and not the bytes are the work: they are dealt out over that many tasks.
     """
-    if layout and gather:
-        rows = rows.hint("rebalance", *(F.col(name) for name in layout))
+    keys = [F.col(name) for name in layout]
+    if keys and spread:
+        rows = rows.repartition(spread, *keys)
+    elif keys and gather:
+        rows = rows.hint("rebalance", *keys)
     writer = rows.write.mode("overwrite").option("compression", "snappy")
     if layout:
         writer = writer.partitionBy(*layout)
