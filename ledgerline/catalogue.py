@@ -16,11 +16,10 @@ from pyspark.sql import functions as F
 from ledgerline.model import ENTITIES, PARTITION_COLUMNS
 from ledgerline.operators.checks import stack
 from ledgerline.plans import bronze, derive, gold, marts, profile, quality, silver
-from ledgerline.plans.lake import Lake
+from ledgerline.plans.lake import OUTCOME, VALID
 from ledgerline.plans.publish import TARGETS, Publisher, Target, guard, prepare, schema_findings, PublishError
-from ledgerline.sources import banking_views
 from ledgerline.sources.files import conform, scan, scan_tree, write_table
-from ledgerline.workspace import fresh_folder, gold_over, lake_over
+from ledgerline.workspace import fresh_folder, gold_over, lake_over, raw_over
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,7 +30,8 @@ GRID = {
          "total_loan_amount", "total_principal"), 2),
     **dict.fromkeys(
         ("average_amount", "average_transaction_amount", "average_principal", "average_interest_rate", "null_percent",
-         "q1", "q3", "upper_limit", "value"), 4),
+         "q1", "q3", "upper_limit"), 4),
+    "value": 2,
 }
 
 
@@ -60,7 +60,7 @@ def _write_generated(spark: SparkSession, folder: str, names: Iterable[str]) ->
     """Write generated tables as an upstream system would leave them, one Parquet path per entity."""
     base = fresh_folder(spark, "generated")
     for name in names:
-        write_table(banking_views.generated(spark, folder, name), f"{base}/{name}.parquet")
+        write_table(raw_over(spark, folder)(name), f"{base}/{name}.parquet")
     return base
 
 
@@ -100,20 +100,16 @@ def scan_silver(spark: SparkSession, folder: str) -> DataFrame:
 
 def scan_gold(spark: SparkSession, folder: str) -> DataFrame:
     """A Gold table read back from its folders by day."""
-    return on_grid(_daily_written(spark, lake_over(spark, folder)))
+    return on_grid(lake_over(spark, folder).gold("daily_transaction_summary"))
 
 
-def _daily_written(spark: SparkSession, lake: Lake) -> DataFrame:
+def sink_daily_partitioned(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals per day of a summary written here."""
     name = "daily_transaction_summary"
     path = fresh_folder(spark, name)
-    write_table(gold.MODELS[name](lake.silver), path, gold.LAYOUTS[name], spread=gold.FOLDER_TASKS)
-    return scan(spark, path, gold.SCHEMAS[name])
-
-
-def sink_daily_partitioned(spark: SparkSession, folder: str) -> DataFrame:
-    """Totals per day of the written summary."""
-    written = _daily_written(spark, lake_over(spark, folder))
-    return on_grid(written.groupBy("transaction_date").agg(
+    summary = gold.MODELS[name](lake_over(spark, folder).silver)
+    write_table(summary, path, gold.LAYOUTS[name], spread=gold.FOLDER_TASKS)
+    return on_grid(scan(spark, path, gold.SCHEMAS[name]).groupBy("transaction_date").agg(
         F.count(F.lit(1)).alias("groups"), F.sum("transaction_count").alias("transaction_count"),
         F.sum("total_amount").alias("total_amount"),
     ))
@@ -123,13 +119,13 @@ def scan_glob_hive(spark: SparkSession, folder: str) -> DataFrame:
     """Silver transactions through a wildcard over the year and month folders."""
     lake = lake_over(spark, folder)
     lake.silver("transactions")
-    path = lake.path("silver", "transactions")
-    return scan_tree(spark, f"{path}/year=*/month=*/*.parquet", path, ENTITIES["transactions"].bronze_schema)
+    base = f"{lake.path('checked', 'transactions')}/{OUTCOME}={VALID}"
+    return scan_tree(spark, f"{base}/year=*/month=*/*.parquet", base, ENTITIES["transactions"].bronze_schema)
 
 
 def normalize_timestamps(spark: SparkSession, folder: str) -> DataFrame:
     """Zoned timestamps become microseconds without zone."""
-    rows = banking_views.generated(spark, folder, "cards")
+    rows = raw_over(spark, folder)("cards")
     zoned = rows.withColumns({name: F.col(name).cast("timestamp") for name in ("issued_at", "expires_at")})
     return conform(zoned, ENTITIES["cards"].columns).select("card_id", "issued_at", "expires_at")
 
@@ -162,9 +158,15 @@ def _publisher(spark: SparkSession) -> Publisher:
 
 
 def _gold(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
+    """Gold models as plans over Silver."""
     return gold_over(lake_over(spark, folder))
 
 
+def _written_gold(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
+    """Gold tables as written, which is what gets published."""
+    return lake_over(spark, folder).gold
+
+
 UNPARTITIONED = tuple(target for target in TARGETS if target.partition is None)
 DAILY = next(target for target in TARGETS if target.partition)
 
@@ -172,13 +174,13 @@ DAILY = next(target for target in TARGETS if target.partition)
 def scan_catalog_table(spark: SparkSession, folder: str) -> DataFrame:
     target = Target("customer_360")
     publisher = _publisher(spark)
-    publisher.publish(_gold(spark, folder)(target.name), target)
+    publisher.publish(_written_gold(spark, folder)(target.name), target)
     return on_grid(publisher.table(target.name))
 
 
 def publish_nonempty_guard(spark: SparkSession, folder: str) -> DataFrame:
     """Which Gold tables may be published; a table without rows may not."""
-    tables = {target.name: _gold(spark, folder)(target.name) for target in TARGETS}
+    tables = {target.name: _written_gold(spark, folder)(target.name) for target in TARGETS}
     tables["customer_360_without_customers"] = tables["customer_360"].where("customer_id IS NULL")
     results = []
     for name, rows in tables.items():
@@ -194,19 +196,19 @@ def publish_nonempty_guard(spark: SparkSession, folder: str) -> DataFrame:
 
 def publish_prepare(spark: SparkSession, folder: str) -> DataFrame:
     target = Target("customer_transaction_metrics")
-    return on_grid(prepare(_gold(spark, folder)(target.name), target, files=32))
+    return on_grid(prepare(_written_gold(spark, folder)(target.name), target, files=32))
 
 
 def publish_create(spark: SparkSession, folder: str) -> DataFrame:
     publisher = _publisher(spark)
-    publisher.create(prepare(_gold(spark, folder)(DAILY.name), DAILY), DAILY)
+    publisher.create(prepare(_written_gold(spark, folder)(DAILY.name), DAILY), DAILY)
     return on_grid(publisher.table(DAILY.name))
 
 
 def publish_overwrite_partitions(spark: SparkSession, folder: str) -> DataFrame:
     """Republish completed transactions only: days that have some are replaced, the other days stay as they were."""
     publisher = _publisher(spark)
-    daily = _gold(spark, folder)(DAILY.name)
+    daily = _written_gold(spark, folder)(DAILY.name)
     publisher.create(prepare(daily, DAILY), DAILY)
     publisher.overwrite_partitions(prepare(daily.where("status = 'COMPLETED'"), DAILY), DAILY)
     spark.catalog.refreshTable(publisher.full_name(DAILY.name))
@@ -217,7 +219,7 @@ def publish_schema_check(spark: SparkSession, folder: str) -> DataFrame:
     """Findings per column when the SQL customer mart meets the published customer view, with the rows concerned."""
     publisher = _publisher(spark)
     target = Target("customer_360")
-    publisher.publish(_gold(spark, folder)(target.name), target)
+    publisher.publish(_written_gold(spark, folder)(target.name), target)
     table = publisher.table(target.name)
     mart = _model(spark, folder, "customer_360_mart").withColumn("total_cards", F.col("total_cards").cast("string"))
     findings = schema_findings(mart.drop("total_loans").schema, table.schema)
@@ -230,7 +232,7 @@ def publish_schema_check(spark: SparkSession, folder: str) -> DataFrame:
 def publish_count_check(spark: SparkSession, folder: str) -> DataFrame:
     """Source and published rows of every unpartitioned target, after two publications."""
     publisher = _publisher(spark)
-    source = _gold(spark, folder)
+    source = _written_gold(spark, folder)
     results = []
     for target in UNPARTITIONED:
         publisher.publish(source(target.name), target)
@@ -247,7 +249,7 @@ def publish_history(spark: SparkSession, folder: str) -> DataFrame:
     """The last five of six publications of one table."""
     publisher = _publisher(spark)
     target = Target("merchant_performance")
-    rows = _gold(spark, folder)(target.name)
+    rows = _written_gold(spark, folder)(target.name)
     for _ in range(6):
         publisher.publish(rows, target)
     return publisher.history(target.name).select("table_name", "operation", "record_count")
@@ -273,9 +275,7 @@ def _over_gold(plan: Callable[[Callable], DataFrame]) -> Query:
 
 
 def _over_raw(plan: Callable[[Callable], DataFrame]) -> Query:
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        return on_grid(plan(lambda entity: banking_views.generated(spark, folder, entity)))
-    return query
+    return lambda spark, folder: on_grid(plan(raw_over(spark, folder)))
 
 
 def _reconciliation(check: Callable) -> Query:

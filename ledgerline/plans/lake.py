@@ -1,64 +1,78 @@
-"""One lake: Bronze tables in, Silver, quarantine and Gold tables written under a root folder when first asked for.
+"""One lake: Bronze tables in, checked and Gold tables written under a root folder.
 
-Silver is a written table, as in any medallion lake: each Gold model reads it instead of validating the raw rows
-again, with its real size known to the optimizer.
+A checked table holds all rows of an entity, laid out by outcome: Silver is its valid folder, the quarantine its
+other one. So one pass over the wide rows fills both sinks, without a second scan and without persisting them, and a
+reader of either prunes the other away. Gold models read Silver as written instead of validating raw rows again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.model import ENTITIES
 from ledgerline.plans import gold, silver
 from ledgerline.sources.files import scan, write_table
 
+OUTCOME = "outcome"
+VALID, QUARANTINED = "valid", "quarantined"
+
 
 class Lake:
-    def __init__(self, spark: SparkSession, root: str, bronze: Callable[[str], DataFrame], gather: bool = True):
+    """`on_demand` lakes write a table when it is first asked for; others only read what was built before.
+
+    `gather` is False where Bronze already has the year and month layout, so that writing needs no shuffle.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, bronze: Callable[[str], DataFrame],
+        on_demand: bool = True, gather: bool = True,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.bronze = bronze
-        self._gather = gather  # False where Bronze already has the year and month layout
-        self._written: dict[str, T.StructType] = {}
+        self.bronze = cache(bronze)  # opening a table lists its files and reads a footer, so it is done once
+        self._on_demand = on_demand
+        self._gather = gather
+        self._open: dict[str, DataFrame] = {}
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
     def silver(self, name: str) -> DataFrame:
-        return self._table("silver", name, ENTITIES[name].bronze_schema, lambda: self.build_silver(name))
+        return self._checked(name, VALID).select(ENTITIES[name].bronze_schema.names)
 
     def quarantine(self, name: str) -> DataFrame:
-        return self._table("quarantine", name, ENTITIES[name].quarantine_schema, lambda: self.build_silver(name))
+        return self._checked(name, QUARANTINED).select(ENTITIES[name].quarantine_schema.names)
 
     def gold(self, name: str) -> DataFrame:
-        return self._table("gold", name, gold.SCHEMAS[name], lambda: self.build_gold(name))
+        return self._table(self.path("gold", name), gold.SCHEMAS[name], lambda: self.build_gold(name))
 
     def build_silver(self, name: str) -> None:
-        """Both sinks of one entity. The offending key sets are already written when the two passes start, and each
-        pass is a scan with lookups, which costs less at scale than persisting every wide row between them."""
-        rows = silver.checked(name, self.bronze)
+        """Check an entity and write its valid and quarantined rows."""
         layout = ENTITIES[name].layout
-        for layer, part in (("quarantine", silver.quarantined_rows), ("silver", silver.valid_rows)):
-            write_table(part(name, rows), self.path(layer, name), layout, self._gather)
-            schema = ENTITIES[name].bronze_schema if layer == "silver" else ENTITIES[name].quarantine_schema
-            self._written[self.path(layer, name)] = schema
+        outcome = F.when(F.col("quality_error").isNull(), VALID).otherwise(QUARANTINED)
+        rows = silver.checked(name, self.bronze).withColumn(OUTCOME, outcome)
+        path = self.path("checked", name)
+        write_table(rows, path, (OUTCOME, *layout), gather=bool(layout) and self._gather)
+        self._open.pop(path, None)
 
     def build_gold(self, name: str) -> None:
-        rows = gold.MODELS[name](self.silver)
-        layout = gold.LAYOUTS.get(name, ())
-        write_table(rows, self.path("gold", name), layout, spread=gold.FOLDER_TASKS)
-        self._written[self.path("gold", name)] = gold.SCHEMAS[name]
-
-    def _table(self, layer: str, name: str, schema: T.StructType, build: Callable[[], None]) -> DataFrame:
-        path = self.path(layer, name)
-        if path in self._written:
-            try:
-                return scan(self.spark, path, schema)
-            except AnalysisException:  # the folder was cleaned up in the meantime
-                del self._written[path]
-        build()
-        return scan(self.spark, path, schema)
+        path = self.path("gold", name)
+        write_table(gold.MODELS[name](self.silver), path, gold.LAYOUTS.get(name, ()), spread=gold.FOLDER_TASKS)
+        self._open.pop(path, None)
+
+    def _checked(self, name: str, outcome: str) -> DataFrame:
+        schema = T.StructType([*ENTITIES[name].quarantine_schema.fields, T.StructField(OUTCOME, T.StringType())])
+        rows = self._table(self.path("checked", name), schema, lambda: self.build_silver(name))
+        return rows.where(F.col(OUTCOME) == outcome)
+
+    def _table(self, path: str, schema: T.StructType, build: Callable[[], None]) -> DataFrame:
+        if path not in self._open:
+            if self._on_demand:
+                build()
+            self._open[path] = scan(self.spark, path, schema)
+        return self._open[path]

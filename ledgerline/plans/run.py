@@ -17,7 +17,7 @@ from ledgerline.sources.files import scan
 def open_lake(spark: SparkSession, root: str) -> Lake:
     """A lake whose Bronze tables were ingested under `root`."""
     tables = lambda name: scan(spark, f"{root}/bronze/{name}", ENTITIES[name].bronze_schema)
-    return Lake(spark, root, tables, gather=False)
+    return Lake(spark, root, tables, on_demand=False, gather=False)
 
 
 def run(spark: SparkSession, source: str, root: str, namespace: str) -> Iterator[tuple[str, DataFrame]]:

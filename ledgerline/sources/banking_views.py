@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.model import ENTITIES
@@ -166,10 +166,9 @@ CARD_KIND = (
 )
 
 
-def generated(spark: SparkSession, folder: str, entity: str) -> DataFrame:
-    """The entity as generated, before Bronze adds year and month."""
+def generated(table: Callable[[str], DataFrame], entity: str) -> DataFrame:
+    """The entity as generated, before Bronze adds year and month; `table` opens a supplied table by name."""
     view = VIEWS[entity]
-    table: Callable[[str], DataFrame] = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
     rows = table(view.source).withColumn("k", F.col(view.key))
     if entity == "customers":
         rows = rows.join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -185,5 +184,5 @@ def generated(spark: SparkSession, folder: str, entity: str) -> DataFrame:
     return conform(shaped, ENTITIES[entity].columns)
 
 
-def bronze(spark: SparkSession, folder: str, entity: str) -> DataFrame:
-    return add_partition_columns(generated(spark, folder, entity), ENTITIES[entity].date_column)
+def bronze(raw: DataFrame, entity: str) -> DataFrame:
+    return add_partition_columns(raw, ENTITIES[entity].date_column)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Callable
+from functools import cache
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,7 +15,13 @@ from ledgerline.plans.lake import Lake
 from ledgerline.session import shared_folder
 from ledgerline.sources import banking_views
 
-_lakes: dict[tuple[str, str], Lake] = {}
+
+class Opened(NamedTuple):
+    raw: Callable[[str], DataFrame]  # entity as generated
+    lake: Lake
+
+
+_opened: dict[tuple[str, str], Opened] = {}
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
@@ -20,23 +29,27 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/ledgerline/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex[:8]}"
 
 
-def lake_over(spark: SparkSession, folder: str) -> Lake:
-    """The lake over the banking views of `folder`; Silver is written when first needed, once per application."""
+def _open(spark: SparkSession, folder: str) -> Opened:
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _lakes:
+    if key not in _opened:
         label = hashlib.sha1(folder.encode()).hexdigest()[:8]
-        bronze = lambda entity: banking_views.bronze(spark, folder, entity)
-        _lakes[key] = Lake(spark, fresh_folder(spark, f"lake-{label}"), bronze)
-    return _lakes[key]
+        table = cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
+        raw = cache(lambda entity: banking_views.generated(table, entity))
+        bronze = lambda entity: banking_views.bronze(raw(entity), entity)
+        _opened[key] = Opened(raw, Lake(spark, fresh_folder(spark, f"lake-{label}"), bronze))
+    return _opened[key]
 
 
-def forget(spark: SparkSession, folder: str) -> None:
-    """Drop the lake, so that the next query builds it again (for timing)."""
-    _lakes.pop((spark.sparkContext.applicationId, folder), None)
+def raw_over(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
+    """The entities as generated, over the supplied tables in `folder`."""
+    return _open(spark, folder).raw
+
+
+def lake_over(spark: SparkSession, folder: str) -> Lake:
+    """The lake over the banking views of `folder`; Silver is written when first needed, once per application."""
+    return _open(spark, folder).lake
 
 
-def gold_over(lake: Lake):
+def gold_over(lake: Lake) -> Callable[[str], DataFrame]:
     """Gold models computed from Silver as plans, without writing them."""
-    def model(name: str) -> DataFrame:
-        return gold.MODELS[name](lake.silver)
-    return model
+    return lambda name: gold.MODELS[name](lake.silver)

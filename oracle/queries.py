@@ -94,7 +94,7 @@ def _counts(table: str, column: str) -> str:
 
 
 def _profile(table: str, kind: str, amount: str) -> str:
-    value = lambda expression: f"CAST(floor(CAST({expression} AS DOUBLE) * 1e4 + 0.50001E0) AS DOUBLE) / 1e4"
+    value = lambda expression: f"CAST(floor(CAST({expression} AS DOUBLE) * 1e2 + 0.50001E0) AS DOUBLE) / 1e2"
     parts = [
         f"SELECT '{column}' AS section, {column} AS item, CAST(count(*) AS DOUBLE) AS value FROM {table} "
         f"WHERE {column} IS NOT NULL GROUP BY {column}"

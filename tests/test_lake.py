@@ -9,12 +9,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgerline.model import ENTITIES
+from ledgerline.operators.checks import ChecksFailed, require
 from ledgerline.plans import bronze, gold
 from ledgerline.plans.publish import PublishError, Publisher, Target, guard, schema_findings
 from ledgerline.plans.run import open_lake, run
-from ledgerline.sources import banking_views
 from ledgerline.sources.files import scan, scan_tree, write_table
-from ledgerline.operators.checks import ChecksFailed, require
+from ledgerline.workspace import lake_over, raw_over
 from tests.conftest import SMALL
 from tests.samples import frame, tables
 
@@ -38,7 +38,7 @@ def test_bronze_refuses_missing_input(spark, folder):
 
 
 def test_year_filter_prunes_folders(spark, folder):
-    rows = banking_views.bronze(spark, SMALL, "transactions")
+    rows = lake_over(spark, SMALL).bronze("transactions")
     write_table(rows, folder, ("year", "month"))
     schema = ENTITIES["transactions"].bronze_schema
     wanted = scan(spark, folder, schema).where("year = 1996 AND month <= 2")
@@ -123,12 +123,12 @@ def test_schema_findings_ignore_order_and_nullability(spark):
 def test_whole_flow(spark, folder):
     """Generated files to published tables; reconciliations fail only where children of quarantined rows remain."""
     for name in ENTITIES:
-        banking_views.generated(spark, SMALL, name).write.parquet(f"{folder}/generated/{name}.parquet")
+        raw_over(spark, SMALL)(name).write.parquet(f"{folder}/generated/{name}.parquet")
     lake_root = f"{folder}/lake"
     reports = dict(run(spark, f"{folder}/generated", lake_root, "test_flow"))
     counts = {row.entity: row for row in reports["silver rows"].collect()}
     for name in ENTITIES:
-        assert counts[name].total_rows == banking_views.generated(spark, SMALL, name).count()
+        assert counts[name].total_rows == raw_over(spark, SMALL)(name).count()
     assert {row.status for row in reports["silver keys"].collect()} == {"PASS"}
     assert {row.status for row in reports["gold keys"].collect()} == {"PASS"}
     recon = {(row.scope, row.check): row.status for row in reports["gold reconciliation"].collect()}

@@ -10,9 +10,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-from ledgerline.sources.banking_views import bronze
-from ledgerline.workspace import lake_over
 from ledgerline.plans import gold, marts, silver
+from ledgerline.workspace import lake_over
 from tests.conftest import SMALL
 
 QUERIES = entry_module.queries()
@@ -62,7 +61,7 @@ def test_entry(spark):
 def test_marking_leaves_wide_rows_unshuffled(spark):
     """The large tables are scanned once and joined with broadcast key sets only."""
     for name in ("transactions", "loan_payments"):
-        plan = executed(silver.checked(name, lambda entity: bronze(spark, SMALL, entity)))
+        plan = executed(silver.checked(name, lake_over(spark, SMALL).bronze))
         assert "Exchange hashpartitioning" not in plan and plan.count("FileScan parquet") == 1
 
 
@@ -80,7 +79,7 @@ def test_transactions_are_aggregated_before_joins(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     lines = plan.splitlines()
     for index, line in enumerate(lines):
-        if "FileScan" in line and "/silver/transactions" in line:
+        if "FileScan" in line and "/checked/transactions" in line:
             above = [text for text in reversed(lines[:index])]
             first = next(text for text in above if "HashAggregate" in text or "Join" in text)
             assert "HashAggregate" in first

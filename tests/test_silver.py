@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.rules import RULES
 from ledgerline.model import ENTITIES
 from ledgerline.plans import silver
-from ledgerline.sources import banking_views
+from ledgerline.workspace import lake_over
 from tests.conftest import SMALL
 from tests.samples import tables
 
@@ -60,7 +60,7 @@ def test_empty_tables(spark, entity):
 
 
 def small(spark):
-    return lambda name: banking_views.bronze(spark, SMALL, name)
+    return lake_over(spark, SMALL).bronze
 
 
 def test_every_code_occurs(spark):
