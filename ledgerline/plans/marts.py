@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.model import ENTITIES
 from ledgerline.operators.lookup import lookup
+from ledgerline.sources.files import scan, write_table
 
 Tables = Callable[[str], DataFrame]
 
@@ -168,20 +169,36 @@ LEFT JOIN {{int_customer_loans}} USING (customer_id)
 """,
 }
 
-MODELS = (*STAGING, *ROW_JOINS, *MARTS)
+MODELS = (*STAGING, *ROW_JOINS, *MARTS)  # in an order in which each model follows those it reads
 
 
-def model(spark: SparkSession, name: str, silver: Tables) -> DataFrame:
-    """The model as a DataFrame; models it reads are resolved down to Silver."""
-    upstream = lambda other: silver(other) if other in ENTITIES else model(spark, other, silver)
+def define(spark: SparkSession, name: str, read: Tables) -> DataFrame:
+    """One model as a DataFrame over what `read` returns for the models and Silver tables it names."""
     if name in ROW_JOINS:
-        return ROW_JOINS[name](upstream)
+        return ROW_JOINS[name](read)
     text = STAGING.get(name) or MARTS[name]
-    inputs = {other: upstream(other) for other in sorted(set(re.findall(r"{(\w+)}", text)))}
-    return spark.sql(text, **inputs)
+    return spark.sql(text, **{other: read(other) for other in sorted(set(re.findall(r"{(\w+)}", text)))})
+
+
+def model(spark: SparkSession, name: str, silver: Tables) -> DataFrame:
+    """The model as one plan, resolved down to Silver."""
+    return define(spark, name, lambda other: silver(other) if other in ENTITIES else model(spark, other, silver))
+
+
+def build_tables(spark: SparkSession, silver: Tables, root: str) -> Tables:
+    """Write the intermediate models and marts below `root`, each from the written models it reads; staging models
+    stay views. Returns a reader by model name."""
+    built: dict[str, DataFrame] = {}
+    for name in MODELS:
+        rows = define(spark, name, lambda other: silver(other) if other in ENTITIES else built[other])
+        if name not in STAGING:
+            write_table(rows, f"{root}/{name}")
+            rows = scan(spark, f"{root}/{name}", rows.schema)
+        built[name] = rows
+    return built.__getitem__
 
 
-def create_views(spark: SparkSession, silver: Tables) -> None:
+def create_views(spark: SparkSession, read: Tables) -> None:
     """Register every model as a temporary view, for use from SQL."""
     for name in MODELS:
-        model(spark, name, silver).createOrReplaceTempView(name)
+        read(name).createOrReplaceTempView(name)

@@ -179,7 +179,7 @@ class Publisher:
             self.publish(gold(target.name), target, files)
 
     def _record(self, target: Target, operation: str, count: int) -> None:
-        entry = self.spark.range(1).select(
+        entry = self.spark.range(0, 1, 1, 1).select(
             F.lit(target.name).alias("table_name"), F.current_timestamp().alias("committed_at"),
             F.lit(operation).alias("operation"), F.lit(count).cast("long").alias("record_count"),
         )

@@ -1,4 +1,4 @@
-"""The whole flow: Bronze, Silver, Silver checks, Gold, Gold checks, publication."""
+"""The flows: generated files to published Gold, the SQL models over Silver, and the profile of generated files."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.model import ENTITIES
 from ledgerline.operators.checks import stack
-from ledgerline.plans import bronze, gold, quality
+from ledgerline.plans import bronze, gold, marts, profile, quality
 from ledgerline.plans.lake import Lake
 from ledgerline.plans.publish import Publisher
 from ledgerline.sources.files import scan
@@ -21,7 +21,10 @@ def open_lake(spark: SparkSession, root: str) -> Lake:
 
 
 def run(spark: SparkSession, source: str, root: str, namespace: str) -> Iterator[tuple[str, DataFrame]]:
-    """Run step by step; yields (step, its report). Reports do not stop the flow, a failed publication does."""
+    """Bronze, Silver, its checks, Gold, its checks, publication; yields (step, its report).
+
+    Reports do not stop the flow (see checks.require), a failed publication does.
+    """
     for name in ENTITIES:
         bronze.ingest(spark, name, f"{source}/{name}.parquet", f"{root}/bronze/{name}")
     lake = open_lake(spark, root)
@@ -40,3 +43,25 @@ def run(spark: SparkSession, source: str, root: str, namespace: str) -> Iterator
     publisher = Publisher(spark, namespace, f"{root}/published")
     publisher.publish_all(lake.gold)
     yield "published", stack([publisher.history(target) for target in gold.MODELS])
+
+
+def run_models(spark: SparkSession, root: str) -> Iterator[tuple[str, DataFrame]]:
+    """Build the SQL models of a lake, register them as views and run their column tests."""
+    models = marts.build_tables(spark, open_lake(spark, root).silver, f"{root}/models")
+    marts.create_views(spark, models)
+    for layer in quality.COLUMN_TESTS:
+        yield layer, quality.data_tests(layer, models)
+
+
+def run_profile(spark: SparkSession, source: str) -> Iterator[tuple[str, DataFrame]]:
+    """Profile generated files."""
+    tables = {name: scan(spark, f"{source}/{name}.parquet", entity.columns) for name, entity in ENTITIES.items()}
+    raw = tables.__getitem__
+    yield "columns", profile.columns(raw)
+    yield "duplicate rows", profile.duplicates(raw)
+    yield "keys", profile.primary_keys(raw)
+    yield "references", quality.raw_references(raw)
+    yield "transactions", profile.transactions(raw)
+    yield "loans", profile.loans(raw)
+    yield "card merchants", profile.card_merchants(raw)
+    yield "outliers", profile.outliers(raw)

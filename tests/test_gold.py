@@ -84,7 +84,8 @@ def test_marts_without_broadcast(spark, no_broadcast):
 
 
 def test_views(spark):
-    marts.create_views(spark, tables(spark))
+    silver = tables(spark)
+    marts.create_views(spark, lambda name: marts.model(spark, name, silver))
     assert spark.sql("SELECT count(*) AS n FROM stg_accounts JOIN customer_360_mart USING (customer_id)").first().n == 1
     for name in marts.MODELS:
         spark.catalog.dropTempView(name)

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.model import ENTITIES
 from ledgerline.operators.checks import ChecksFailed, require
-from ledgerline.plans import bronze, gold
+from ledgerline.plans import bronze, gold, marts
 from ledgerline.plans.publish import PublishError, Publisher, Target, guard, schema_findings
-from ledgerline.plans.run import open_lake, run
+from ledgerline.plans.run import open_lake, run, run_models, run_profile
 from ledgerline.sources.files import scan, scan_tree, write_table
 from ledgerline.workspace import lake_over, raw_over
 from tests.conftest import SMALL
@@ -139,3 +139,14 @@ def test_whole_flow(spark, folder):
     lake = open_lake(spark, lake_root)
     assert spark.table("test_flow.customer_360").count() == lake.silver("customers").count()
     spark.sql("DROP NAMESPACE test_flow CASCADE")
+
+    tests = [row for _, report in run_models(spark, lake_root) for row in report.collect()]
+    assert len(tests) == 27
+    assert [(row.model, row.column_name) for row in tests if row.status == "FAIL"] == [
+        ("stg_customers", "customer_segment")]
+    assert spark.table("customer_360_mart").count() == lake.silver("customers").count()
+    for name in marts.MODELS:
+        spark.catalog.dropTempView(name)
+
+    profiles = {name: report.count() for name, report in run_profile(spark, f"{folder}/generated")}
+    assert profiles["columns"] == 57 and profiles["keys"] == 7 and profiles["references"] == 6
