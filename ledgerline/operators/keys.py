@@ -21,16 +21,21 @@ def repeated_keys(rows: DataFrame, key: str) -> DataFrame:
     return key_counts(rows.where(F.col(key).isNotNull()), key).where("copies > 1")
 
 
+def _known(parents: DataFrame, parent_key: str, key: str) -> DataFrame:
+    found = parents.select(F.col(parent_key).alias(key)).where(F.col(key).isNotNull()).distinct()
+    return found.withColumn("_known", F.lit(True))
+
+
 def unmatched_keys(rows: DataFrame, key: str, parents: DataFrame, parent_key: str) -> DataFrame:
     """Keys (NULL among them) that do not occur among the parents, with their number of copies.
 
-    Both sides hold one row per key when they meet, so the join cannot be skewed.
+    Both sides hold one row per key when they meet, so the join cannot be skewed. That is why this is not an anti
+    join: the optimizer may move an anti or semi join below the aggregation, where it would meet every row.
     """
-    known = parents.select(F.col(parent_key).alias(key)).where(F.col(key).isNotNull()).distinct()
-    return key_counts(rows, key).join(known, key, "left_anti")
+    marked = key_counts(rows, key).join(_known(parents, parent_key, key), key, "left")
+    return marked.where(F.col("_known").isNull()).drop("_known")
 
 
 def matched_keys(rows: DataFrame, key: str, parents: DataFrame, parent_key: str) -> DataFrame:
     """Keys that do occur among the parents, with their number of copies."""
-    known = parents.select(F.col(parent_key).alias(key)).where(F.col(key).isNotNull()).distinct()
-    return key_counts(rows, key).join(known, key, "left_semi")
+    return key_counts(rows, key).join(_known(parents, parent_key, key), key).drop("_known")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import lookup as lookups
 from ledgerline.operators.checks import ChecksFailed, condition_check, key_check, reconcile, reference_check, require, totals
 from ledgerline.operators.copies import duplicate_rows
-from ledgerline.operators.keys import repeated_keys, unmatched_keys
+from ledgerline.operators.keys import matched_keys, repeated_keys, unmatched_keys
 from ledgerline.operators.measures import (
     count_rows, count_where, max_of, mean_of, min_of, roll_up, sum_of, sum_where, summarise,
 )
@@ -61,6 +61,17 @@ def test_key_sets(spark):
     assert as_set(unmatched_keys(rows, "key", parents, "id")) == [(1, 2), (3, 1), (None, 2)]
 
 
+@pytest.mark.parametrize("find", [unmatched_keys, matched_keys])
+def test_rows_are_counted_before_they_meet_parents(spark, find):
+    """Also where Spark would broadcast the parents and move a semi or anti join below the aggregation."""
+    rows, parents = skewed(spark), spark.range(10)
+    plan = find(rows, "key", parents, "id")._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line.strip(" :+-") for line in plan.splitlines()]
+    join = next(index for index, line in enumerate(lines) if line.startswith("Join"))
+    assert not any(line.startswith("Aggregate") for line in lines[:join])
+    assert sum(line.startswith("Aggregate") for line in lines[join:]) == 2
+
+
 MEASURES = (
     count_rows("n"), count_where("big", "amount > 100"), sum_of("total", "amount"), mean_of("average", "amount"),
     sum_where("big_total", "amount", "amount > 100"), min_of("least", "amount"), max_of("most", "amount"),
