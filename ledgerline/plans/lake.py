@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ledgerline.model import ENTITIES
 from ledgerline.plans import gold, silver
-from ledgerline.sources.files import scan, write_table
+from ledgerline.sources.files import exists, scan, write_table
 
 OUTCOME = "outcome"
 VALID, QUARANTINED = "valid", "quarantined"
@@ -71,8 +71,10 @@ class Lake:
         return rows.where(F.col(OUTCOME) == outcome)
 
     def _table(self, path: str, schema: T.StructType, build: Callable[[], None]) -> DataFrame:
-        if path not in self._open:
-            if self._on_demand:
-                build()
+        known = path in self._open
+        if self._on_demand and not (known and exists(self.spark, path)):  # not written yet, or cleaned up since
+            build()
+            known = False
+        if not known:
             self._open[path] = scan(self.spark, path, schema)
         return self._open[path]

@@ -40,6 +40,11 @@ def scan_tree(spark: SparkSession, pattern: str, base: str, schema: T.StructType
         return spark.read.schema(schema).option("basePath", base).parquet(pattern)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast to the declared columns, in order. Timestamps become microseconds without zone; NULL stays NULL."""
     return rows.select(*(F.col(field.name).cast(field.dataType).alias(field.name) for field in schema.fields))

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from ledgerline.model import ENTITIES
 from ledgerline.operators.checks import ChecksFailed, require
 from ledgerline.plans import bronze, gold, marts
+from ledgerline.plans.lake import Lake
 from ledgerline.plans.publish import PublishError, Publisher, Target, guard, schema_findings
 from ledgerline.plans.run import open_lake, run, run_models, run_profile
+from ledgerline.session import shared_folder
 from ledgerline.sources.files import scan, scan_tree, write_table
 from ledgerline.workspace import lake_over, raw_over
 from tests.conftest import SMALL
@@ -57,6 +59,45 @@ def test_empty_partitioned_table_reads_back(spark, folder):
     assert scan(spark, folder, schema).schema == schema
 
 
+def test_tables_are_written_once_and_again_after_a_clean_up(spark, folder):
+    given, built = tables(spark), []
+    lake = Lake(spark, f"{folder}/lake", given)
+    build = lake.build_silver
+    lake.build_silver = lambda name: (built.append(name), build(name))
+    for _ in range(2):
+        assert lake.silver("accounts").count() == 1 and lake.quarantine("accounts").count() == 0
+    assert built == ["accounts"]
+    os.rename(lake.path("checked", "accounts"), f"{folder}/aside")
+    assert lake.silver("accounts").count() == 1 and built == ["accounts"] * 2
+
+
+def test_lake_without_demand_only_reads(spark, folder):
+    with pytest.raises(AnalysisException):
+        Lake(spark, folder, tables(spark), on_demand=False).silver("accounts")
+
+
+class Cluster:
+    """As much of a session as the choice of the shared folder looks at."""
+
+    def __init__(self, master, **conf):
+        self.conf, self.master, self.folder = conf, master, None
+        self.sparkContext = self
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_shared_folder():
+    named = Cluster("yarn", **{"spark.checkpoint.dir": "hdfs://x/shared/"})
+    assert shared_folder(named) == "hdfs://x/shared" and named.folder == "hdfs://x/shared/"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster("yarn"))
+    assert shared_folder(Cluster("local[2]")).startswith("/tmp/ledgerline-")
+
+
 DAILY = Target("daily", "day")
 
 
