@@ -36,6 +36,7 @@ def not_above_zero(column: str) -> str:
     return f"{column} IS NULL OR {column} <= 0"
 
 
+# The codes, their conditions and their order of precedence.
 RULES: dict[str, tuple[Rule, ...]] = {
     "customers": (
         Rule("NULL_CUSTOMER_ID", missing("customer_id")),

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ledgerline.plans.gold import FOLDER_TASKS
 from ledgerline.sources.catalog import scan_table
+from ledgerline.sources.files import grouped_listing
 
 
 class PublishError(PySparkException):
@@ -141,7 +142,8 @@ class Publisher:
             writer = writer.option("path", f"{self.location}/{target.name}")
         if target.partition:
             writer = writer.partitionBy(target.partition)
-        writer.saveAsTable(name)
+        with grouped_listing(self.spark):  # the catalog registers the folders it finds
+            writer.saveAsTable(name)
 
     def overwrite_partitions(self, rows: DataFrame, target: Target) -> None:
         """Replace the partitions present in `rows`; a table without partitions is replaced as a whole."""
@@ -154,7 +156,7 @@ class Publisher:
             F.col(field.name) if field.name in rows.columns else F.lit(None).cast(field.dataType).alias(field.name)
             for field in held
         ]
-        with _dynamic_overwrite(self.spark):
+        with _dynamic_overwrite(self.spark), grouped_listing(self.spark):
             rows.select(*aligned).write.insertInto(name, overwrite=True)
 
     def publish(self, source: DataFrame, target: Target, files: int | None = None) -> list[tuple[str, str, str]]:
