@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ledgerline.functions.rules import RULES
 from ledgerline.model import ENTITIES
 from ledgerline.plans import silver
+from ledgerline.plans.bronze import add_partition_columns
 from ledgerline.workspace import lake_over
 from tests.conftest import SMALL
-from tests.samples import tables
+from tests.samples import VALID, tables
 
 
 def errors(rows, key):
@@ -98,12 +99,17 @@ def test_large_key_sets_give_the_same_errors(spark, no_broadcast, monkeypatch, e
 
 def test_hot_account_in_transactions(spark):
     """A third of all transactions on one unknown account, another third copies of one row."""
-    rows = tables(spark)("transactions")
-    many = spark.range(900).select(F.col("id"))
-    crowded = rows.drop("transaction_id", "account_id").crossJoin(many).select(
-        F.when(F.col("id") < 300, F.lit(7)).otherwise(F.col("id")).alias("transaction_id"),
-        F.when(F.col("id") >= 600, F.lit(77)).otherwise(F.lit(10)).alias("account_id"), *rows.columns[1:][1:],
-    ).select(rows.columns)
-    lake = lambda name: crowded if name == "transactions" else tables(spark)(name)
+    given = tables(spark)
+    number = F.col("id")
+    constant = {
+        name: F.lit(value).cast(ENTITIES["transactions"].columns[name].dataType)
+        for name, value in VALID["transactions"].items()
+    }
+    crowded = add_partition_columns(spark.range(900).select(*(column.alias(name) for name, column in {
+        **constant,
+        "transaction_id": F.when(number < 300, F.lit(7)).otherwise(number),
+        "account_id": F.when(number >= 600, F.lit(77)).otherwise(F.lit(10)),
+    }.items())), "transaction_timestamp")
+    lake = lambda name: crowded if name == "transactions" else given(name)
     counts = Counter(row.quality_error for row in silver.checked("transactions", lake).collect())
     assert counts == {"DUPLICATE_TRANSACTION_ID": 300, "INVALID_ACCOUNT_ID": 300, None: 300}
