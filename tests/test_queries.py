@@ -10,12 +10,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+import oracle
+from ledgerline import catalogue
 from ledgerline.plans import gold, marts, silver
 from ledgerline.workspace import lake_over
 from tests.conftest import SMALL
 
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = catalogue.build()
+ORACLES = oracle.build()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
          "timestamp_ntz": "TIMESTAMP"}
 
@@ -34,6 +36,7 @@ def plain(value):
 
 def test_all_have_oracles():
     assert set(QUERIES) == set(ORACLES) and len(QUERIES) > 130
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
