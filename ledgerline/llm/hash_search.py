@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.frames import materialise
+from ledgerline.llm.frames import materialise, sampled
 
 BITS, PARTS = 64, 8
 SAMPLE, SAMPLE_QUERIES, SHARE = 4_000, 400, 0.98
@@ -153,7 +153,7 @@ def search(vectors: DataFrame, *, every: int = 20, wanted: int = WANTED) -> Data
                     F.count_if(F.col("vec_id") % every == 0).alias("asked"), F.count_distinct("vec_id").alias("ids")).first()
     if not seen["asked"] or seen["ids"] < 2:
         return spark.createDataFrame([], schema)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(SAMPLE).toPandas()
+    sample = sampled(rows, SAMPLE, "vec_id", "vector").toPandas()
     coder = learn(np.array(sample["vector"].tolist()), float(seen["norm"]), wanted)
     shards, blocks = -(-seen["n"] // SHARD), -(-seen["asked"] // QUERY_BLOCK)
     packed = "number int, ids binary, vectors binary, codes binary"

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.frames import whole_text
+from ledgerline.llm.frames import sampled, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -287,7 +287,7 @@ def learn(shapes: np.ndarray, labels: np.ndarray, pairs: np.ndarray) -> Model |
 
 def fit(docs: DataFrame, *, text: str = "text", documents: int = SAMPLE_DOCUMENTS, tokens_: int = SAMPLE_TOKENS) -> Model | None:
     """The model of the rules' labels in a bounded sample: documents of the smallest hashes, at most so many tokens."""
-    chosen = docs.select("doc_id").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(documents).distinct()
+    chosen = sampled(docs.select("doc_id"), documents, "doc_id").distinct()
     rows = docs.select("doc_id", whole_text(text).alias("text")).join(F.broadcast(chosen), "doc_id")
     count = len(LABELS)
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.frames import free_name, whole_text
+from ledgerline.llm.frames import free_name, sampled, whole_text
 from ledgerline.llm.text_stats import NAMES, statistics
 
 SAMPLE = 20_000  # labelled rows that the model is fitted to, at most
@@ -108,11 +108,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", key: str
     """The model of at most `sample` labelled rows: those whose ids have the smallest hashes, held-out ids left out."""
     known = labels.where(learnable(key) & F.col(label).isin(0, 1)).select(
         F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
-    order = [F.xxhash64("_key"), "_key", "_label"]
-    chosen = known.orderBy(*order).limit(sample)
+    chosen = sampled(known, sample, "_key", "_label")
     taught = docs.select(F.col(key).alias("_key"), whole_text(text).alias("_text")).join(F.broadcast(chosen), "_key")
     rows = taught.select("_key", "_label", _measure(F.col("_text")).alias("_rows"), F.xxhash64("_text").alias("_tie"))
-    bounded = rows.orderBy(*order, "_tie").limit(sample).select("_label", "_rows").toPandas()
+    bounded = rows.orderBy("_key", "_label", "_tie").limit(sample).select("_label", "_rows").toPandas()
     table = np.array(bounded["_rows"].tolist(), dtype=float).reshape(len(bounded), len(NAMES))
     return fit_rows(table, bounded["_label"].to_numpy(dtype=int))
 
