@@ -11,11 +11,11 @@ from __future__ import annotations
 
 import numpy as np
 
-BLOCK = 4096  # ids of a block
-LANES = 2048  # blocks abreast
-_SLOTS = 12  # bits of a predictor's table
-_HIGH_EVERY, _LOW_EVERY = 64, 256  # steps between renewals of the order-0 intervals
-_LOWS = 4  # tables of low bytes: one each for the first high bytes, the last for all others
+BLOCK = 2048  # ids of a block
+LANES = 4096  # blocks abreast
+_SLOTS = 11  # bits of a predictor's table
+_FIRST = 32  # the order-0 intervals are renewed after so many ids, and whenever that number has doubled
+_LOWS = 2  # tables of low bytes: one each for the first high bytes, the last for all others
 _TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 40)
 _U = np.uint64
 
@@ -27,13 +27,13 @@ class _Model:
         self.lane = np.arange(lanes, dtype=np.int64)
         self.seen1 = np.zeros(lanes << _SLOTS, dtype=np.uint32)  # id * 4 + how often in a row it was right
         self.seen2 = np.zeros(lanes << _SLOTS, dtype=np.uint32)
-        self.chance2 = np.full(lanes * 32, 1024, dtype=np.int32)  # of 4096
-        self.chance1 = np.full(lanes * 32, 1024, dtype=np.int32)
+        self.chance2 = np.full(lanes * 32, 1024, dtype=np.int64)  # of 4096
+        self.chance1 = np.full(lanes * 32, 1024, dtype=np.int64)
         self.lanes = lanes
         self.high = np.ones((256, lanes), dtype=np.int32)  # symbols by lanes, so that sums run along whole rows
         self.low = np.ones((256, _LOWS * lanes), dtype=np.int32)
-        self.high_from = np.zeros((257, lanes), dtype=np.int32)  # of 4096
-        self.low_from = np.zeros((257, _LOWS * lanes), dtype=np.int32)
+        self.high_from = np.zeros((257, lanes), dtype=np.int64)  # of 4096
+        self.low_from = np.zeros((257, _LOWS * lanes), dtype=np.int64)
         self.before = np.zeros(lanes, dtype=np.uint32)
         self.earlier = np.zeros(lanes, dtype=np.uint32)
         self.step = 0
@@ -55,10 +55,9 @@ class _Model:
     def search(table: np.ndarray, column: np.ndarray, value: np.ndarray) -> np.ndarray:
         """The symbol whose interval holds the value, for each column."""
         flat, width = table.ravel(), table.shape[1]
-        at = column.copy()
-        for jump in (128, 64, 32, 16, 8, 4, 2, 1):
-            ahead = at + jump * width
-            at = np.where(flat.take(ahead) <= value, ahead, at)
+        at = column + (flat.take(column + 128 * width) <= value) * (128 * width)
+        for jump in (64, 32, 16, 8, 4, 2, 1):
+            at += (flat.take(at + jump * width) <= value) * (jump * width)
         return (at - column) // width
 
     def order0(self, ids: np.ndarray, lanes: np.ndarray):
@@ -71,13 +70,12 @@ class _Model:
     @staticmethod
     def span(table: np.ndarray, symbol: np.ndarray, column: np.ndarray):
         at = symbol * table.shape[1] + column
-        begin = table.ravel().take(at).astype(np.int64)
+        begin = table.ravel().take(at)
         return begin, table.ravel().take(at + table.shape[1]) - begin
 
     def predict(self):
-        if self.step % _HIGH_EVERY == 0:
+        if self.step == 0 or self.step >= _FIRST and self.step & (self.step - 1) == 0:
             self._intervals(self.high, self.high_from)
-        if self.step % _LOW_EVERY == 0:
             self._intervals(self.low, self.low_from)
         base = self.lane << _SLOTS
         hash1 = self.before * np.uint32(2654435761)
@@ -124,7 +122,7 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
     for lane, block in enumerate(blocks):
         table[:len(block), lane] = block
     model = _Model(lanes)
-    out = np.zeros((lanes, 3 * int(sizes[0]) + 8), dtype=np.uint16)
+    out = np.zeros((lanes, 9 * int(sizes[0]) // 4 + 12), dtype=np.uint16)
     filled = np.zeros(lanes, dtype=np.int64)
     low, width = np.zeros(lanes, dtype=np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
     active = lanes
@@ -135,28 +133,31 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
         ids = table[step, :active]
         model.predict()
         hit2 = ids == model.id2
-        start = np.zeros(active, dtype=np.int64)
-        share = np.where(hit2, model.width2, model.width1).astype(np.int64) << 24
-        start[~hit2] = model.width2[~hit2]
-        start <<= 24
-        literal = np.flatnonzero(~hit2 & (ids != model.id1))
+        start = (model.width2 * ~hit2) << 24
+        share = np.where(hit2, model.width2, model.width1) << 24
+        literal = np.flatnonzero(~(hit2 | (ids == model.id1)))
         inner, inner_width = model.order0(ids[literal].astype(np.int64), literal)
-        scale = model.width0[literal].astype(np.int64)
-        start[literal] = ((model.width2[literal] + model.width1[literal]).astype(np.int64) << 24) + scale * inner
+        scale = model.width0[literal]
+        start[literal] = ((4096 - scale) << 24) + scale * inner
         share[literal] = scale * inner_width
         lo, wide = low[:active], width[:active]
         unit = wide >> _U(36)
-        lo += unit * start.astype(np.uint64)
-        np.multiply(unit, share.astype(np.uint64), out=wide)
-        moved = np.flatnonzero(((lo ^ (lo + wide)) < _TOP) | (wide < _BOTTOM))
+        lo += unit * start.view(np.uint64)
+        np.multiply(unit, share.view(np.uint64), out=wide)
+        settled = (lo ^ (lo + wide)) < _TOP
+        moved = np.flatnonzero(settled | (wide < _BOTTOM))
+        settled = settled[moved]
         while len(moved):
             part, span = lo[moved], wide[moved]
-            span = np.where((part ^ (part + span)) < _TOP, span, (_U(0) - part) & (_BOTTOM - _U(1)))
+            if not settled.all():
+                span = np.where(settled, span, (_U(0) - part) & (_BOTTOM - _U(1)))
             out[moved, filled[moved]] = part >> _U(48)
             filled[moved] += 1
-            lo[moved], wide[moved] = part << _U(16), span << _U(16)
-            part, span = lo[moved], wide[moved]
-            moved = moved[((part ^ (part + span)) < _TOP) | (span < _BOTTOM)]
+            part, span = part << _U(16), span << _U(16)
+            lo[moved], wide[moved] = part, span
+            settled = (part ^ (part + span)) < _TOP
+            again = np.flatnonzero(settled | (span < _BOTTOM))
+            moved, settled = moved[again], settled[again]
         model.learn(ids)
     for shift in (48, 32, 16, 0):
         out[np.arange(lanes), filled] = (low >> _U(shift)) & _U(0xFFFF)
@@ -190,15 +191,15 @@ def decode(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
         lo, wide, seen = low[:active], width[:active], code[:active]
         unit = wide >> _U(36)
         value = np.minimum((seen - lo) // unit, _U((1 << 36) - 1)).astype(np.int64)
-        expert = (value >> 24).astype(np.int32)
+        expert = value >> 24
         hit2 = expert < model.width2
         ids = np.where(hit2, model.id2, model.id1)
-        start = np.where(hit2, 0, model.width2).astype(np.int64) << 24
-        share = np.where(hit2, model.width2, model.width1).astype(np.int64) << 24
-        literal = np.flatnonzero(expert >= model.width2 + model.width1)
+        start = (model.width2 * ~hit2) << 24
+        share = np.where(hit2, model.width2, model.width1) << 24
+        literal = np.flatnonzero(expert >= 4096 - model.width0)
         if len(literal):
-            scale = model.width0[literal].astype(np.int64)
-            begin = (model.width2[literal] + model.width1[literal]).astype(np.int64) << 24
+            scale = model.width0[literal]
+            begin = (4096 - scale) << 24
             inner = np.minimum((value[literal] - begin) // scale, (1 << 24) - 1)
             high = model.search(model.high_from, literal, inner >> 12)
             high_begin, high_width = model.span(model.high_from, high, literal)
@@ -210,16 +211,22 @@ def decode(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
             start[literal] = begin + scale * ((high_begin << 12) + high_width * low_begin)
             share[literal] = scale * high_width * low_width
         table[step, :active] = ids
-        lo += unit * start.astype(np.uint64)
-        np.multiply(unit, share.astype(np.uint64), out=wide)
-        moved = np.flatnonzero(((lo ^ (lo + wide)) < _TOP) | (wide < _BOTTOM))
+        lo += unit * start.view(np.uint64)
+        np.multiply(unit, share.view(np.uint64), out=wide)
+        settled = (lo ^ (lo + wide)) < _TOP
+        moved = np.flatnonzero(settled | (wide < _BOTTOM))
+        settled = settled[moved]
         while len(moved):
             part, span = lo[moved], wide[moved]
-            span = np.where((part ^ (part + span)) < _TOP, span, (_U(0) - part) & (_BOTTOM - _U(1)))
-            seen[moved] = (seen[moved] << _U(16)) | data[moved, read[moved]].astype(np.uint64)
-            read[moved] += 1
-            lo[moved], wide[moved] = part << _U(16), span << _U(16)
-            part, span = lo[moved], wide[moved]
-            moved = moved[((part ^ (part + span)) < _TOP) | (span < _BOTTOM)]
+            if not settled.all():
+                span = np.where(settled, span, (_U(0) - part) & (_BOTTOM - _U(1)))
+            place = read[moved]
+            seen[moved] = (seen[moved] << _U(16)) | data[moved, place]
+            read[moved] = place + 1
+            part, span = part << _U(16), span << _U(16)
+            lo[moved], wide[moved] = part, span
+            settled = (part ^ (part + span)) < _TOP
+            again = np.flatnonzero(settled | (span < _BOTTOM))
+            moved, settled = moved[again], settled[again]
         model.learn(ids.astype(np.uint32))
     return [table[:size, lane].copy() for lane, size in enumerate(counts.tolist())]
