@@ -82,6 +82,7 @@ def flat_schema(ddl: str) -> T.StructType:
     return T.StructType([T.StructField(name, types[kind]) for name, kind in pairs])
 
 
+# Names and types of the columns, and the codes of the references.
 ENTITIES: dict[str, Entity] = {
     entity.name: entity
     for entity in (

@@ -91,10 +91,27 @@ def reconcile(scope: str, actual: Sequence[DataFrame], expected: Sequence[DataFr
 
 
 def column_tests(model: str, rows: DataFrame, not_null: Sequence[str], unique: Sequence[str]) -> DataFrame:
-    """Declarative column tests: rows with NULL, and values (NULL left out) that occur more than once."""
-    nulls = rows.agg(*(F.count_if(F.col(name).isNull()).alias(name) for name in not_null))
-    results = [nulls.unpivot([], list(not_null), "column_name", "failures").withColumn("test", F.lit("not_null"))]
-    for name in unique:
+    """Declarative column tests: rows with NULL, and values (NULL left out) that occur more than once.
+
+    One evaluation of `rows`: grouped by the first unique column, which counts its repeats and, per value, the NULLs of
+    the others; the totals over the groups are the results. Further unique columns take one evaluation each.
+    """
+    empty = {name: F.count_if(F.col(name).isNull()).cast("long") for name in not_null}
+    if unique:
+        key = unique[0]
+        grouped = rows.groupBy(F.col(key).alias("_key")).agg(
+            F.count(F.lit(1)).alias("_copies"), *(count.alias(f"_{name}") for name, count in empty.items() if name != key))
+        tests = {("not_null", name): F.sum(f"_{name}") for name in not_null if name != key}
+        if key in not_null:
+            tests["not_null", key] = F.sum(F.when(F.col("_key").isNull(), F.col("_copies")))
+        tests["unique", key] = F.sum((F.col("_key").isNotNull() & (F.col("_copies") > 1)).cast("long"))
+    else:
+        grouped, tests = rows, {("not_null", name): count for name, count in empty.items()}
+    counts = grouped.agg(*(F.coalesce(value, F.lit(0)).alias(f"{test} {name}") for (test, name), value in tests.items()))
+    listed = counts.unpivot([], counts.columns, "what", "failures").select(
+        F.substring_index("what", " ", -1).alias("column_name"), "failures", F.substring_index("what", " ", 1).alias("test"))
+    results = [listed]
+    for name in unique[1:]:
         repeated = repeated_keys(rows, name).agg(F.count(F.lit(1)).alias("failures"))
         results.append(repeated.select(F.lit(name).alias("column_name"), "failures", F.lit("unique").alias("test")))
     return stack(results).select(

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import materialise
 
+SLICE_VALUES = 5_000  # different values that one task sorts
+
 
 def _rank(probability: float) -> str:
     return f"(total - 1) * {probability!r}D"
@@ -21,17 +23,13 @@ def _rank(probability: float) -> str:
 
 def exact_quantiles(rows: DataFrame, column: str, probabilities: Sequence[float], names: Sequence[str]) -> DataFrame:
     """One row with the quantiles of `column` (NULLs left out) under the given names."""
-    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    values = (
-        rows.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .repartitionByRange(width, "value")
-        .withColumn("slice", F.spark_partition_id())
-    )
+    counted = materialise(
+        rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("copies")))
+    width = max(1, -(-counted.count() // SLICE_VALUES))
+    values = counted.repartitionByRange(width, "value").withColumn("slice", F.spark_partition_id())
     values = materialise(values)  # fixes the slices
 
-    # One row per slice: at most `width` rows, whatever the data.
+    # One row per slice: a small part of the different values.
     running = Window.orderBy("lowest").rowsBetween(Window.unboundedPreceding, -1)
     slices = (
         values.groupBy("slice")

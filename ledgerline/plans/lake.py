@@ -25,7 +25,8 @@ VALID, QUARANTINED = "valid", "quarantined"
 class Lake:
     """`on_demand` lakes write a table when it is first asked for; others only read what was built before.
 
-    `gather` is False where Bronze already has the year and month layout, so that writing needs no shuffle.
+    `gather` is False where Bronze already has the year and month layout, so that writing needs no shuffle
+    (unless a lookup has shuffled the rows meanwhile).
     """
 
     def __init__(
@@ -55,9 +56,10 @@ class Lake:
         """Check an entity and write its valid and quarantined rows."""
         layout = ENTITIES[name].layout
         outcome = F.when(F.col("quality_error").isNull(), VALID).otherwise(QUARANTINED)
-        rows = silver.checked(name, self.bronze).withColumn(OUTCOME, outcome)
+        shuffled: list[str] = []
+        rows = silver.checked(name, self.bronze, shuffled).withColumn(OUTCOME, outcome)
         path = self.path("checked", name)
-        write_table(rows, path, (OUTCOME, *layout), gather=bool(layout) and self._gather)
+        write_table(rows, path, (OUTCOME, *layout), gather=bool(layout) and (self._gather or bool(shuffled)))
         self._open.pop(path, None)
 
     def build_gold(self, name: str) -> None:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.model import ENTITIES
 from ledgerline.operators.lookup import lookup
+from ledgerline.session import materialise
 from ledgerline.sources.files import scan, write_table
 
 Tables = Callable[[str], DataFrame]
@@ -26,7 +27,7 @@ STAGING = {
 
 def int_customer_transactions(model: Tables) -> DataFrame:
     segments = model("stg_customers").select("customer_id", "customer_segment")
-    owners = lookup(model("stg_accounts").select("account_id", "customer_id"), segments, "customer_id")
+    owners = materialise(lookup(model("stg_accounts").select("account_id", "customer_id"), segments, "customer_id"))
     return lookup(model("stg_transactions"), owners, "account_id").select(
         "transaction_id", "account_id", "customer_id", "customer_segment", "transaction_type", "amount", "currency",
         "status", "transaction_timestamp", "merchant_id", "description",

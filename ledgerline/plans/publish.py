@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.plans.gold import FOLDER_TASKS
 from ledgerline.sources.catalog import scan_table
 from ledgerline.sources.files import grouped_listing
 
@@ -57,13 +56,13 @@ def guard(source: DataFrame, name: str) -> None:
 
 
 def prepare(source: DataFrame, target: Target, files: int | None = None) -> DataFrame:
-    """Deal the rows out to write tasks: all rows of a day to one task, a table without days by its size.
+    """Deal the rows out to write tasks by their size, days kept together; Spark may split a large day.
 
-    Published tables are aggregates, so a day is a few rows. `files` fixes the number of tasks.
+    `files` fixes the number of tasks instead.
     """
-    if target.partition:
-        return source.repartition(files or FOLDER_TASKS, target.partition)
-    return source.repartition(files) if files else source.hint("rebalance")
+    if files:
+        return source.repartition(files, target.partition) if target.partition else source.repartition(files)
+    return source.hint("rebalance", target.partition) if target.partition else source.hint("rebalance")
 
 
 def schema_findings(source: T.StructType, target: T.StructType) -> list[tuple[str, str, str]]:

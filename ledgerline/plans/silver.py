@@ -7,7 +7,8 @@ are then marked through `lookup`, which leaves them unshuffled as long as the of
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,10 +25,21 @@ Tables = Callable[[str], DataFrame]  # entity name -> its Bronze rows
 SAVINGS_CARD_CODE = "INVALID_CARD_TYPE_FOR_SAVINGS"
 
 
-def _mark(rows: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
-    """Add a boolean column saying whether the row's key is among `keys`."""
-    members = materialise(keys.where(F.col(key).isNotNull()).select(key)).withColumn(flag, F.lit(True))
-    return lookup(rows, members, key, "left")
+def _mark(
+    rows: DataFrame, key: str, marks: Mapping[str, DataFrame], source: DataFrame, shuffled: list[str] | None,
+) -> DataFrame:
+    """Add a boolean column for each of `marks`, saying whether the row's key is among its keys: one key set, one lookup.
+
+    `source` has the same keys as `rows`, before they were normalised and marked.
+    """
+    flagged = [keys.where(F.col(key).isNotNull()).select(key, F.lit(flag).alias("_flag")) for flag, keys in marks.items()]
+    if len(flagged) == 1:
+        flag = next(iter(marks))
+        members = materialise(flagged[0].select(key)).withColumn(flag, F.lit(True))
+    else:
+        either = [F.max(F.when(F.col("_flag") == flag, F.lit(True))).alias(flag) for flag in marks]
+        members = materialise(reduce(DataFrame.unionByName, flagged).groupBy(key).agg(*either))
+    return lookup(rows, members, key, "left", counted=source, shuffled=shuffled)
 
 
 def _parents(entity: Entity, reference: Reference, tables: Tables) -> DataFrame:
@@ -43,36 +55,52 @@ def _savings_accounts(tables: Tables) -> DataFrame:
     return kinds.where("account_type = 'SAVINGS'")
 
 
-def mark_references(name: str, rows: DataFrame, tables: Tables) -> tuple[DataFrame, list[Column]]:
+def _offending_cards(tables: Tables) -> DataFrame:
+    """Savings accounts that have a card other than a debit card."""
+    card_type = normalised_columns("cards")["card_type"]
+    not_debit = tables("cards").where(card_type != "DEBIT")
+    return matched_keys(not_debit, "account_id", _savings_accounts(tables), "account_id")
+
+
+def _savings_error() -> Column:
+    return F.when(F.col("_savings") & (F.col("card_type") != "DEBIT"), F.lit(SAVINGS_CARD_CODE))
+
+
+def mark_references(
+    name: str, rows: DataFrame, tables: Tables, shuffled: list[str] | None = None,
+) -> tuple[DataFrame, list[Column]]:
     """Mark rows whose reference has no parent, and credit cards on savings accounts; return the error columns."""
     entity = ENTITIES[name]
     bronze = tables(name)
     errors: list[Column] = []
+    marks: dict[str, dict[str, DataFrame]] = {}
     for reference in entity.references:
         flag = f"_no_{reference.parent}"
-        orphans = unmatched_keys(bronze, reference.column, _parents(entity, reference, tables), reference.parent_key)
-        rows = _mark(rows, orphans, reference.column, flag)
-        unmatched = F.col(reference.column).isNull() | F.col(flag)
+        marks.setdefault(reference.column, {})[flag] = unmatched_keys(
+            bronze, reference.column, _parents(entity, reference, tables), reference.parent_key)
+        unmatched = F.col(reference.column).isNull() | F.coalesce(F.col(flag), F.lit(False))
         errors.append(F.when(unmatched, F.lit(reference.code)))
     if name == "cards":
-        rows, error = mark_savings_cards(rows, tables)
-        errors.append(error)
+        marks.setdefault("account_id", {})["_savings"] = _offending_cards(tables)
+        errors.append(_savings_error())
+    for key, sets in marks.items():
+        rows = _mark(rows, key, sets, bronze, shuffled)
     return rows, errors
 
 
 def mark_savings_cards(rows: DataFrame, tables: Tables) -> tuple[DataFrame, Column]:
     """A savings account may only have debit cards."""
-    card_type = normalised_columns("cards")["card_type"]
-    not_debit = tables("cards").where(card_type != "DEBIT")
-    offending = matched_keys(not_debit, "account_id", _savings_accounts(tables), "account_id")
-    rows = _mark(rows, offending, "account_id", "_savings")
-    return rows, F.when(F.col("_savings") & (F.col("card_type") != "DEBIT"), F.lit(SAVINGS_CARD_CODE))
+    marks = {"_savings": _offending_cards(tables)}
+    return _mark(rows, "account_id", marks, tables("cards"), None), _savings_error()
 
 
-def mark_duplicates(name: str, rows: DataFrame, tables: Tables) -> tuple[DataFrame, Column]:
+def mark_duplicates(
+    name: str, rows: DataFrame, tables: Tables, shuffled: list[str] | None = None,
+) -> tuple[DataFrame, Column]:
     """Every copy of a repeated key is an error, including copies that already carry another one."""
     entity = ENTITIES[name]
-    rows = _mark(rows, repeated_keys(tables(name), entity.key), entity.key, "_repeated")
+    repeated = repeated_keys(tables(name), entity.key)
+    rows = _mark(rows, entity.key, {"_repeated": repeated}, tables(name), shuffled)
     return rows, F.when(F.col("_repeated"), F.lit(entity.duplicate_code))
 
 
@@ -108,10 +136,10 @@ def checked_duplicates(name: str, tables: Tables) -> DataFrame:
     return _finish(name, rows, [first_failure(RULES[name]), error])
 
 
-def checked(name: str, tables: Tables) -> DataFrame:
-    """All rows with their error, NULL for a valid row."""
-    rows, references = mark_references(name, normalised(name, tables), tables)
-    rows, duplicate = mark_duplicates(name, rows, tables)
+def checked(name: str, tables: Tables, shuffled: list[str] | None = None) -> DataFrame:
+    """All rows with their error, NULL for a valid row. Keys whose lookup shuffled the rows are added to `shuffled`."""
+    rows, references = mark_references(name, normalised(name, tables), tables, shuffled)
+    rows, duplicate = mark_duplicates(name, rows, tables, shuffled)
     return _finish(name, rows, [first_failure(RULES[name]), *references, duplicate])
 
 

@@ -21,6 +21,7 @@ def build_session(app: str = "ledgerline", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # checkpoints go when no frame needs them any more
     }
     for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)

@@ -171,13 +171,13 @@ def generated(table: Callable[[str], DataFrame], entity: str) -> DataFrame:
     view = VIEWS[entity]
     rows = table(view.source).withColumn("k", F.col(view.key))
     if entity == "customers":
-        rows = rows.join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        rows = rows.join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        rows = rows.join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        rows = rows.join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     elif entity == "merchants":
-        rows = rows.join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        rows = rows.join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
     elif entity == "cards":
         orders = table("orders").select("o_orderkey", "o_orderpriority")
-        rows = rows.join(orders, F.col("event_id") == F.col("o_orderkey")).withColumn("ct", F.expr(CARD_KIND))
+        rows = rows.join(orders, F.col("event_id") == F.col("o_orderkey"), "left").withColumn("ct", F.expr(CARD_KIND))
     if view.twice:
         rows = rows.withColumn("copy", F.expr(f"explode(sequence(1, CASE WHEN {view.twice} THEN 2 ELSE 1 END))"))
     shaped = rows.selectExpr(*(f"{text} AS {name}" for name, text in view.columns.items()))

@@ -11,8 +11,8 @@ KINDS = {T.LongType: "BIGINT", T.StringType: "VARCHAR", T.DoubleType: "DOUBLE",
          T.TimestampNTZType: "TIMESTAMP"}
 
 JOINS = {
-    "customers": "JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
-    "merchants": "JOIN nation ON s_nationkey = n_nationkey",
+    "customers": "LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey",
+    "merchants": "LEFT JOIN nation ON s_nationkey = n_nationkey",
 }
 
 
@@ -21,7 +21,7 @@ def _input(entity: str) -> str:
     base = f"SELECT {view.key} AS k, t.* FROM {view.source} t"
     if entity == "cards":
         base = (f"SELECT b.*, {CARD_KIND} AS ct FROM (SELECT event_id AS k, t.*, o_orderpriority "
-                f"FROM events t JOIN orders ON o_orderkey = event_id) b")
+                f"FROM events t LEFT JOIN orders ON o_orderkey = event_id) b")
     rows = f"({base})"
     if view.twice:
         rows = f"({base} UNION ALL SELECT * FROM ({base}) WHERE {view.twice})"

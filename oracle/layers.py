@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# The lists of allowed values, the error codes and the column names below.
 LAYERS: dict[str, str] = {
     "nm_customers": """
         SELECT * REPLACE (trim(first_name) AS first_name, trim(last_name) AS last_name, trim(document) AS document,

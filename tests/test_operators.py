@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import lookup as lookups
-from ledgerline.operators.checks import ChecksFailed, condition_check, key_check, reconcile, reference_check, require, totals
+from ledgerline.operators.checks import (
+    ChecksFailed, column_tests, condition_check, key_check, reconcile, reference_check, require, totals,
+)
 from ledgerline.operators.copies import duplicate_rows
 from ledgerline.operators.keys import matched_keys, repeated_keys, unmatched_keys
 from ledgerline.operators.measures import (
@@ -38,6 +40,41 @@ def test_lookup_ways_agree(spark, no_broadcast, how, floor):
     assert as_set(found) == as_set(rows.join(entries, "key", how).select("id", "key", "amount", "value"))
 
 
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookup_beyond_the_budget_reads_its_rows_once(spark, no_broadcast, folder):
+    """Two lookups in a row: one scan, and no union of hot and other rows."""
+    skewed(spark).write.parquet(f"{folder}/rows")
+    rows, shuffled = spark.read.parquet(f"{folder}/rows"), []
+    for name in ("key", "id"):
+        entries = spark.range(300).withColumnRenamed("id", name).withColumn(f"of_{name}", F.lit(1))
+        rows = lookups.lookup(rows, entries, name, "left", 500, shuffled=shuffled)
+    assert executed(rows).count("FileScan") == 1 and "Union" not in executed(rows) and shuffled == ["key", "id"]
+
+
+def test_lookup_spreads_hot_and_missing_keys(spark, no_broadcast):
+    rows = spark.range(20_000).select(F.col("id"), F.when(F.col("id") % 4 > 0, F.lit(1)).alias("key"))
+    found = lookups.lookup(rows, spark.range(5).withColumnRenamed("id", "key"), "key", "left", 100)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [len(part) for part in found.rdd.glom().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 20_000 and max(sizes) < 10_000
+
+
+def test_column_tests_evaluate_their_rows_once(spark, folder):
+    given = [(1, "a", None), (1, "b", "x"), (2, None, "x"), (None, "c", "x"), (None, "d", None)]
+    spark.createDataFrame(given, "id long, name string, kind string").write.parquet(f"{folder}/rows")
+    found = column_tests("m", spark.read.parquet(f"{folder}/rows"), ("id", "name", "kind"), ("id",))
+    assert executed(found).count("FileScan") == 1
+    assert {(row.column_name, row.test): (row.failures, row.status) for row in found.collect()} == {
+        ("id", "not_null"): (2, "FAIL"), ("name", "not_null"): (1, "FAIL"), ("kind", "not_null"): (2, "FAIL"),
+        ("id", "unique"): (1, "FAIL")}
+
+
 def test_lookup_broadcasts_within_the_budget(spark):
     rows, entries = skewed(spark), spark.range(0, 300).withColumnRenamed("id", "key")
     plan = lookups.lookup(rows, entries, "key")._jdf.queryExecution().executedPlan().toString()

@@ -12,7 +12,11 @@ import pytest
 import __spark_entry__ as entry_module
 import oracle
 from ledgerline import catalogue
+from ledgerline.model import ENTITIES
 from ledgerline.plans import gold, marts, silver
+from ledgerline.plans.lake import Lake
+from ledgerline.session import shared_folder
+from ledgerline.sources.files import exists, write_table
 from ledgerline.workspace import lake_over
 from tests.conftest import SMALL
 
@@ -68,6 +72,29 @@ def test_marking_leaves_wide_rows_unshuffled(spark):
         assert "Exchange hashpartitioning" not in plan and plan.count("FileScan parquet") == 1
 
 
+@pytest.mark.parametrize("name", ["transactions", "loan_payments", "cards"])
+def test_marking_beyond_the_budget_scans_wide_rows_once(spark, no_broadcast, name):
+    """However many lookups follow each other, each adds one join and no scan."""
+    lake = Lake(spark, "unused", lambda entity: spark.read.parquet(_bronze(spark, entity)))
+    plan = executed(silver.checked(name, lake.bronze))
+    assert plan.count("FileScan parquet") == 1 and "Union" not in plan
+
+
+def _bronze(spark, entity):
+    path = f"{shared_folder(spark)}/test-bronze/{entity}"
+    if not exists(spark, path):
+        write_table(lake_over(spark, SMALL).bronze(entity), path, ENTITIES[entity].layout)
+    return path
+
+
+def test_silver_beyond_the_budget_is_gathered(spark, no_broadcast, folder):
+    """Rows that lookups have shuffled come together again before they are written, though Bronze had the layout."""
+    lake = Lake(spark, folder, lambda entity: spark.read.parquet(_bronze(spark, entity)), on_demand=False, gather=False)
+    lake.build_silver("transactions")
+    files = glob.glob(f"{folder}/checked/transactions/**/*.parquet", recursive=True)
+    assert len(files) <= 2 * len({os.path.dirname(file) for file in files})
+
+
 def test_scans_read_only_needed_columns(spark):
     plan = executed(gold.transaction_metrics(lake_over(spark, SMALL).silver))
     assert "ReadSchema: struct<account_id:bigint,amount:double>" in plan
