@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.frames import components, free_name, materialise, text_key, whole_text
 from ledgerline.llm.words import mix, shingles_of, slices, words_of
+from ledgerline.operators.lookup import lookup
 
 TREES, DEPTH, LABEL = 24, 8, 2  # bytes of a label
 THRESHOLD, RECALL = 0.8, 0.99
@@ -183,7 +184,7 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD, recall: float
     named = small.join(first, "root").select(
         "key", "copies", "shingles", F.coalesce("links", F.lit(0)).alias("links"), F.col("first.doc_id").alias("class"),
         F.col("first.key").alias("kept_key"))
-    rows = signed.select("doc_id", "key").join(named, "key")
+    rows = lookup(signed.select("doc_id", "key"), materialise(named), "key")  # a text copied very often is spread
     worded = F.col("shingles") > 0
     return rows.select(
         "doc_id", "key", worded.alias("worded"),

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.frames import materialise
+from ledgerline.operators.lookup import lookup
 
 
 class Rule(NamedTuple):
@@ -130,7 +131,7 @@ def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFr
     judged = judged_by_rules(pages, rules)
     ranked = trust(pages, judged)
     bad = ranked.where((F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))).select(
-        F.col("host").alias("_bad_host"))
-    joined = judged.join(bad, judged["host"] == bad["_bad_host"], "left")
-    by_method = F.when(F.col("_bad_host").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
+        "host", F.lit(True).alias("bad"))
+    joined = lookup(judged, materialise(bad), "host", "left")  # a host with very many pages is spread
+    by_method = F.when(F.col("bad"), F.lit("block")).otherwise(F.lit("allow"))
     return joined.select("page_id", "host", "path", "rule", F.coalesce("ruled", by_method).alias("verdict"))
