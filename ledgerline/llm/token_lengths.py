@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.frames import whole_text
+from ledgerline.llm.frames import materialise, whole_text
 from ledgerline.llm.token_ids import encoder, vocabulary
 
 RANGE = 1024
@@ -36,6 +36,7 @@ def histogram(docs: DataFrame, path: str | None = None) -> DataFrame:
     """One row for each length: n_tokens, n_docs, and with this length as the context limit: docs_at_least, tokens_at_least
     (documents that long or longer), docs_at_most, and truncated_total (all documents cut to the limit)."""
     counts = lengths(docs, path or vocabulary("byte_bpe_50k.json")).groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    counts = materialise(counts)  # it is read twice, the texts once
     ranged = counts.withColumn("range", F.floor(F.col("n_tokens") / RANGE))
     totals = ranged.groupBy("range").agg(
         F.sum("n_docs").alias("docs"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("tokens"))
