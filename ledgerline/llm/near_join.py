@@ -177,20 +177,21 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD, recall: float
             break
     degrees = linked.groupBy("key").agg(F.sum("links").alias("links"))
     roots = components(linked.select(F.col("key").alias("a"), F.col("root").alias("b")))
-    small = texts.select("key", "doc_id", "copies", "shingles").join(degrees, "key", "left").join(
+    small = texts.select("key", "doc_id", "copies").join(degrees, "key", "left").join(
         roots.select(F.col("node").alias("key"), "root"), "key", "left")
-    small = small.withColumn("root", F.coalesce("root", "key"))
+    small = small.where("links > 0 OR copies > 1").withColumn("root", F.coalesce("root", "key"))  # all others stand alone
     first = small.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
-    named = small.join(first, "root").select(
-        "key", "copies", "shingles", F.coalesce("links", F.lit(0)).alias("links"), F.col("first.doc_id").alias("class"),
-        F.col("first.key").alias("kept_key"))
-    rows = lookup(signed.select("doc_id", "key"), materialise(named), "key")  # a text copied very often is spread
+    named = materialise(small.join(first, "root").select(
+        "key", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.col("first.doc_id").alias("class"),
+        F.col("first.key").alias("kept_key")))
+    rows = lookup(signed.select("doc_id", "key", "shingles"), named, "key", "left")  # a text copied very often is spread
     worded = F.col("shingles") > 0
+    joined = worded & F.col("copies").isNotNull()
+    first_of_class = (F.col("key") == F.col("kept_key")) & F.col("doc_id").eqNullSafe(F.col("class"))
     return rows.select(
-        "doc_id", "key", worded.alias("worded"),
-        F.when(worded, F.col("class")).otherwise(F.col("doc_id")).alias("class_id"),
-        F.when(worded, F.col("links") + F.col("copies") - 1).otherwise(F.lit(0)).cast("long").alias("n_links"),
-        (~worded | ((F.col("key") == F.col("kept_key")) & F.col("doc_id").eqNullSafe(F.col("class")))).alias("keep"))
+        "doc_id", "key", worded.alias("worded"), F.when(joined, F.col("class")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(joined, F.col("links") + F.col("copies") - 1).otherwise(F.lit(0)).cast("long").alias("n_links"),
+        F.when(joined, first_of_class).otherwise(F.lit(True)).alias("keep"))
 
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
