@@ -80,6 +80,25 @@ def summarise(rows: DataFrame, by: Sequence[str], measures: Sequence[Measure]) -
     return _step(rows, by, collected).select(*by, *(measure.finished() for measure in measures))
 
 
+def gather(
+    base: DataFrame, key: str, by: Sequence[str], own: Sequence[Measure],
+    facts: Sequence[tuple[DataFrame, Sequence[Measure]]],
+) -> DataFrame:
+    """One row per `by` of `base`, with measures of its rows and of all `facts` that refer to them by `key`.
+
+    Each fact is aggregated by the key before it is joined, and `base` is read and aggregated once for all of them.
+    A measure without any rows is NULL, a count of them too.
+    """
+    joined = base
+    for rows, measures in facts:
+        collected = [column for measure in measures for column in measure.collected()]
+        joined = joined.join(_step(rows.where(F.col(key).isNotNull()), [key], collected), key, "left")
+    aggregates = [column for measure in own for column in measure.collected()]
+    aggregates += [column for _, measures in facts for measure in measures for column in measure.merged()]
+    names = [measure for measures in (own, *(held for _, held in facts)) for measure in measures]
+    return _step(joined, by, aggregates).select(*by, *(measure.finished() for measure in names))
+
+
 def roll_up(
     rows: DataFrame, key: str, bridge: DataFrame, by: Sequence[str], measures: Sequence[Measure]
 ) -> DataFrame:

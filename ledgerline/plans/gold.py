@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ledgerline.model import flat_schema
 from ledgerline.operators.measures import (
-    count_rows, count_where, max_of, mean_of, min_of, roll_up, sum_of, sum_where, summarise,
+    count_rows, count_where, gather, max_of, mean_of, min_of, roll_up, sum_of, sum_where, summarise,
 )
 
 Tables = Callable[[str], DataFrame]  # entity name -> its Silver rows
@@ -116,50 +116,60 @@ def _counts(rows: DataFrame, column: str, name: str) -> DataFrame:
     return rows.groupBy(column).agg(F.count(F.lit(1)).alias(name)).orderBy(F.desc(name), column)
 
 
+ACCOUNT_MEASURES = (count_rows("total_accounts"), count_where("active_accounts", _equals("status", "ACTIVE")))
+TRANSACTION_MEASURES = (count_rows("total_transactions"), *TRANSACTION_TOTALS)
+CARD_MEASURES = (count_rows("total_cards"), count_where("credit_cards", _equals("card_type", "CREDIT")))
+LOAN_MEASURES = (
+    count_rows("total_loans"),
+    sum_of("total_loan_amount", "principal_amount"),
+    count_where("active_loans", _equals("status", "ACTIVE")),
+    count_where("defaulted_loans", _equals("status", "DEFAULTED")),
+)
+PAYMENT_MEASURES = (
+    count_rows("total_loan_payments"),
+    count_where("paid_payments", _equals("status", "PAID")),
+    count_where("late_payments", _equals("status", "LATE")),
+    sum_where("total_paid_amount", "amount", _equals("status", "PAID")),
+)
+
+
 def account_metrics(silver: Tables) -> DataFrame:
-    measures = (count_rows("total_accounts"), count_where("active_accounts", _equals("status", "ACTIVE")))
-    return summarise(silver("accounts"), ["customer_id"], measures)
+    return summarise(silver("accounts"), ["customer_id"], ACCOUNT_MEASURES)
 
 
 def transaction_metrics(silver: Tables) -> DataFrame:
-    measures = (count_rows("total_transactions"), *TRANSACTION_TOTALS)
-    return roll_up(silver("transactions"), "account_id", silver("accounts"), ["customer_id"], measures)
+    return roll_up(silver("transactions"), "account_id", silver("accounts"), ["customer_id"], TRANSACTION_MEASURES)
 
 
 def card_metrics(silver: Tables) -> DataFrame:
-    measures = (count_rows("total_cards"), count_where("credit_cards", _equals("card_type", "CREDIT")))
-    return roll_up(silver("cards"), "account_id", silver("accounts"), ["customer_id"], measures)
+    return roll_up(silver("cards"), "account_id", silver("accounts"), ["customer_id"], CARD_MEASURES)
 
 
 def loan_metrics(silver: Tables) -> DataFrame:
-    measures = (
-        count_rows("total_loans"),
-        sum_of("total_loan_amount", "principal_amount"),
-        count_where("active_loans", _equals("status", "ACTIVE")),
-        count_where("defaulted_loans", _equals("status", "DEFAULTED")),
-    )
-    return summarise(silver("loans"), ["customer_id"], measures)
+    return summarise(silver("loans"), ["customer_id"], LOAN_MEASURES)
 
 
 def payment_metrics(silver: Tables) -> DataFrame:
-    measures = (
-        count_rows("total_loan_payments"),
-        count_where("paid_payments", _equals("status", "PAID")),
-        count_where("late_payments", _equals("status", "LATE")),
-        sum_where("total_paid_amount", "amount", _equals("status", "PAID")),
-    )
-    return roll_up(silver("loan_payments"), "loan_id", silver("loans"), ["customer_id"], measures)
+    return roll_up(silver("loan_payments"), "loan_id", silver("loans"), ["customer_id"], PAYMENT_MEASURES)
 
 
 CUSTOMER_PARTS = (account_metrics, transaction_metrics, card_metrics, loan_metrics, payment_metrics)
 
 
 def customer_360(silver: Tables) -> DataFrame:
-    """Every customer with the account, transaction, card, loan and payment metrics, zero where there are none."""
-    result = silver("customers").select("customer_id", "customer_segment")
-    for part in CUSTOMER_PARTS:
-        result = result.join(part(silver), "customer_id", "left")
-    return result.fillna(0, [name for name in result.columns if name not in ("customer_id", "customer_segment")])
+    """Every customer with the account, transaction, card, loan and payment metrics, zero where there are none.
+
+    Accounts and loans are read once each: transactions and cards meet accounts, payments meet loans, one row a key.
+    """
+    held = gather(
+        silver("accounts").select("account_id", "customer_id", "status"), "account_id", ["customer_id"], ACCOUNT_MEASURES,
+        [(silver("transactions"), TRANSACTION_MEASURES), (silver("cards"), CARD_MEASURES)])
+    borrowed = gather(
+        silver("loans").select("loan_id", "customer_id", "principal_amount", "status"), "loan_id", ["customer_id"],
+        LOAN_MEASURES, [(silver("loan_payments"), PAYMENT_MEASURES)])
+    customers = silver("customers").select("customer_id", "customer_segment")
+    result = customers.join(held, "customer_id", "left").join(borrowed, "customer_id", "left")
+    return result.fillna(0, [name for name in result.columns if name not in customers.columns])
 
 
 MODELS: dict[str, Callable[[Tables], DataFrame]] = {

@@ -70,24 +70,22 @@ _ACCOUNT_TOTALS = """
 
 MARTS = {
     "int_customer_loans": """
-WITH borrowed AS (
-  SELECT customer_id, count(DISTINCT loan_id) AS loans, sum(principal_amount) AS principal,
-         count_if(status = 'ACTIVE') AS active, count_if(status = 'DEFAULTED') AS defaulted
-  FROM {stg_loans} GROUP BY customer_id
-), by_loan AS (
+WITH by_loan AS (
   SELECT loan_id, count(payment_id) AS n, count_if(status = 'PAID') AS paid, count_if(status = 'LATE') AS late,
          sum(amount) FILTER (WHERE status = 'PAID') AS paid_amount
   FROM {stg_loan_payments} GROUP BY loan_id
-), repaid AS (
-  SELECT customer_id, sum(n) AS n, sum(paid) AS paid, sum(late) AS late, sum(paid_amount) AS paid_amount
-  FROM by_loan JOIN {stg_loans} USING (loan_id) GROUP BY customer_id
+), borrowed AS (
+  SELECT customer_id, count(DISTINCT loan_id) AS loans, sum(principal_amount) AS principal,
+         count_if(status = 'ACTIVE') AS active, count_if(status = 'DEFAULTED') AS defaulted,
+         sum(n) AS n, sum(paid) AS paid, sum(late) AS late, sum(paid_amount) AS paid_amount
+  FROM {stg_loans} LEFT JOIN by_loan USING (loan_id) GROUP BY customer_id
 )
 SELECT customer_id, customer_segment,
        coalesce(loans, 0) AS total_loans, coalesce(principal, 0) AS total_loan_amount,
        coalesce(active, 0) AS active_loans, coalesce(defaulted, 0) AS defaulted_loans,
        coalesce(n, 0) AS total_loan_payments, coalesce(paid, 0) AS paid_payments,
        coalesce(late, 0) AS late_payments, coalesce(paid_amount, 0) AS total_paid_amount
-FROM {stg_customers} LEFT JOIN borrowed USING (customer_id) LEFT JOIN repaid USING (customer_id)
+FROM {stg_customers} LEFT JOIN borrowed USING (customer_id)
 """,
     "fct_daily_transactions": """
 SELECT date(transaction_timestamp) AS transaction_date, transaction_type, status,
@@ -134,21 +132,18 @@ SELECT loan_id, customer_id, loan_type, principal_amount, interest_rate, term_mo
 FROM by_loan JOIN {stg_loans} USING (loan_id)
 """,
     "customer_360_mart": f"""
-WITH held AS (
-  SELECT customer_id, count(*) AS accounts, count_if(status = 'ACTIVE') AS active,
-         count_if(status = 'BLOCKED') AS blocked, count_if(status = 'CLOSED') AS closed
-  FROM {{stg_accounts}} GROUP BY customer_id
-), by_account AS ({_ACCOUNT_TOTALS}), moved AS (
-  SELECT customer_id, sum(n) AS n, sum(amount) AS amount, sum(amounts) AS amounts, sum(completed) AS completed,
-         sum(failed) AS failed, sum(pending) AS pending, sum(cancelled) AS cancelled
-  FROM by_account JOIN {{stg_accounts}} USING (account_id) GROUP BY customer_id
-), issued AS (
-  SELECT account_id, count(card_id) AS n, count_if(card_type = 'CREDIT') AS credit,
+WITH by_account AS ({_ACCOUNT_TOTALS}), issued AS (
+  SELECT account_id, count(card_id) AS cards, count_if(card_type = 'CREDIT') AS credit,
          count_if(card_type = 'DEBIT') AS debit
   FROM {{stg_cards}} GROUP BY account_id
-), carried AS (
-  SELECT customer_id, sum(n) AS cards, sum(credit) AS credit, sum(debit) AS debit
-  FROM issued JOIN {{stg_accounts}} USING (account_id) GROUP BY customer_id
+), held AS (
+  SELECT customer_id, count(*) AS accounts, count_if(status = 'ACTIVE') AS active,
+         count_if(status = 'BLOCKED') AS blocked, count_if(status = 'CLOSED') AS closed,
+         sum(n) AS n, sum(amount) AS amount, sum(amounts) AS amounts, sum(completed) AS completed,
+         sum(failed) AS failed, sum(pending) AS pending, sum(cancelled) AS cancelled,
+         sum(cards) AS cards, sum(credit) AS credit, sum(debit) AS debit
+  FROM {{stg_accounts}} LEFT JOIN by_account USING (account_id) LEFT JOIN issued USING (account_id)
+  GROUP BY customer_id
 )
 SELECT customer_id, c.customer_segment,
        coalesce(accounts, 0) AS total_accounts, coalesce(held.active, 0) AS active_accounts,
@@ -164,8 +159,6 @@ SELECT customer_id, c.customer_segment,
        coalesce(late_payments, 0) AS late_payments, coalesce(total_paid_amount, 0) AS total_paid_amount
 FROM {{stg_customers}} AS c
 LEFT JOIN held USING (customer_id)
-LEFT JOIN moved USING (customer_id)
-LEFT JOIN carried USING (customer_id)
 LEFT JOIN {{int_customer_loans}} USING (customer_id)
 """,
 }

@@ -376,7 +376,10 @@ QUERIES.update({
           ('total_loans', 'extra', 'bigint')) AS f(column_name, finding, detail)""",
     "publish_count_check": _union([
         _check("rows", name, _rows(table), _rows(table))
-        for name, table in _PUBLISHED.items() if name != "daily_transaction_summary"
+        for name, table in _PUBLISHED.items()
+    ] + [
+        _check("rows", "daily_transaction_summary_without_first_day", _rows("go_daily"), _rows(
+            "go_daily", "transaction_date IS DISTINCT FROM (SELECT min(transaction_date) FROM go_daily)"))
     ]),
     "publish_history": """
         SELECT 'merchant_performance' AS table_name, 'overwrite' AS operation,

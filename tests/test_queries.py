@@ -61,6 +61,12 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("name, scans", [("gold_customer_360", 6), ("customer_360_mart", 7)])
+def test_customer_views_read_each_table_once(spark, name, scans):
+    """Six tables; the mart reads the narrow customers again for their loans."""
+    assert executed(QUERIES[name](spark, SMALL)).count("FileScan") == scans
+
+
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
 
