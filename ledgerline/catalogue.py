@@ -229,8 +229,8 @@ def publish_schema_check(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def publish_count_check(spark: SparkSession, folder: str) -> DataFrame:
-    """Source and published rows of every target after two publications; and of the daily summary after a third one
-    without its first day, which the table keeps, so that this publication is refused and its counts differ."""
+    """Source and published rows of every target after two publications. The second one of the daily summary lacks its
+    first day, which the table keeps: that publication is refused, and the counts differ from its source."""
     publisher = _publisher(spark)
     source = _written_gold(spark, folder)
 
@@ -243,16 +243,18 @@ def publish_count_check(spark: SparkSession, folder: str) -> DataFrame:
 
     results = []
     for target in TARGETS:
-        publisher.publish(source(target.name), target)
-        publisher.publish(source(target.name), target)
-        results.append(compared(target.name, source(target.name), target))
-    daily = source(DAILY.name)
-    first_day = daily.agg(F.min(DAILY.partition).alias("day"))
-    later = daily.join(F.broadcast(first_day), F.col(DAILY.partition) == F.col("day"), "left_anti")  # one row
-    try:
-        publisher.publish(later, DAILY)
-    except PublishError:
-        results.append(compared(f"{DAILY.name}_without_first_day", later, DAILY))
+        rows = source(target.name)
+        publisher.publish(rows, target)
+        if target == DAILY:
+            first_day = rows.agg(F.min(target.partition).alias("day"))  # one row
+            later = rows.join(F.broadcast(first_day), F.col(target.partition) == F.col("day"), "left_anti")
+            try:
+                publisher.publish(later, target)
+            except PublishError:
+                results.append(compared(f"{target.name}_without_first_day", later, target))
+        else:
+            publisher.publish(rows, target)
+        results.append(compared(target.name, rows, target))
     return stack(results)
 
 
