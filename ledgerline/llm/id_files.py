@@ -15,6 +15,7 @@ their own, in the order of their texts, NULL first. An empty table gives files w
 from __future__ import annotations
 
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -111,8 +112,8 @@ def _decoded(kind: pa.DataType):
             if any(zlib.crc32(payload) != crc for payload, crc in zip(payloads, sums)):
                 raise ValueError("a block does not match its checksum")
             order = np.argsort(-counts, kind="stable")
-            for low in range(0, len(order), LANES):
-                chosen = order[low:low + LANES].tolist()
+            for chosen in np.array_split(order, max(1, -(-len(order) // (LANES + LANES // 8)))):  # of about equal numbers
+                chosen = chosen.tolist()
                 rows = {name: [] for name in ("file", "block", "doc", "doc_id", "part", "length", "ids")}
                 for at, ids in zip(chosen, decode([payloads[at] for at in chosen], [int(counts[at]) for at in chosen])):
                     place = 0
@@ -141,31 +142,34 @@ def read_parts(spark: SparkSession, folder: str) -> DataFrame:
         f"file int, block bigint, doc bigint, doc_id {kind.simpleString()}, part int, length bigint, ids binary")
 
 
-def _shifted(crc: int, size: int) -> int:
-    """A crc32 register after `size` zero bytes: times x to the power of eight times `size`, modulo the polynomial."""
-    def times(a: int, b: int) -> int:
-        out = 0
-        while b:
-            if b & 0x80000000:
-                out ^= a
-            a = (a >> 1) ^ (0xEDB88320 if a & 1 else 0)
-            b = (b << 1) & 0xFFFFFFFF
-        return out
+def _times(a: int, b: int) -> int:
+    """The product of two polynomials of crc32's field, lowest powers in the highest bits."""
+    out = 0
+    while b:
+        if b & 0x80000000:
+            out ^= a
+        a = (a >> 1) ^ (0xEDB88320 if a & 1 else 0)
+        b = (b << 1) & 0xFFFFFFFF
+    return out
 
-    power, square, count = 0x80000000, 0x00800000, size  # 1, and x to the power of 8
-    while count:
-        if count & 1:
-            power = times(power, square)
-        square = times(square, square)
-        count >>= 1
-    return times(crc, power)
+
+@lru_cache(maxsize=1 << 14)  # parts within blocks have few different lengths
+def _zeros(size: int) -> int:
+    """What `size` zero bytes multiply a crc32 register by: x to the power of eight times `size`."""
+    power, square = 0x80000000, 0x00800000  # 1, and x to the power of 8
+    while size:
+        if size & 1:
+            power = _times(power, square)
+        square = _times(square, square)
+        size >>= 1
+    return power
 
 
 def joined_crc32(parts: list[tuple[int, int]]) -> int:
     """The crc32 of parts put together, from (crc32, bytes) of each."""
     whole = 0
     for crc, size in parts:
-        whole = _shifted(whole, size) ^ crc
+        whole = _times(_zeros(size), whole) ^ crc
     return whole
 
 
