@@ -166,8 +166,8 @@ class Encoder:
         parts, sizes = [], np.zeros(len(texts), dtype=np.int64)
         for begin, end in slices(texts, SLICE):
             part = texts[begin:end]
-            odd = [at for at, text in enumerate(part) if not self._plain(text)]
-            quick = self._quick(["" if at in set(odd) else text for at, text in enumerate(part)] if odd else part)
+            odd = {at for at, text in enumerate(part) if not self._plain(text)}
+            quick = self._quick(["" if at in odd else text for at, text in enumerate(part)] if odd else part)
             if not odd:
                 parts.append(quick.flat)
                 sizes[begin:end] = np.diff(quick.starts)
