@@ -2,6 +2,9 @@
 
 `roll_up` is how transactions reach customers: they are aggregated by account before the join, so the join and the
 second aggregate see one row per account, however many transactions one account or customer has.
+
+Sums of doubles depend on the order of addition. Where every value of a group is a whole number of cents, the sum is taken
+over cents, as integers, and is the same however the rows are partitioned; otherwise (or beyond 64 bits) it is the plain sum.
 """
 
 from __future__ import annotations
@@ -26,9 +29,15 @@ class Measure:
         value = F.expr(self.value)
         if self.kind == "count":
             return {self.name: (F.count(value), "sum")}
-        if self.kind == "mean":
-            return {f"{self.name}_sum": (F.sum(value), "sum"), f"{self.name}_n": (F.count(value), "sum")}
-        return {self.name: (getattr(F, self.kind)(value), self.kind)}
+        if self.kind in ("min", "max"):
+            return {self.name: (getattr(F, self.kind)(value), self.kind)}
+        cents = f"try_cast(rint(({self.value}) * 100) AS bigint)"
+        odd = f"({self.value}) IS NOT NULL AND NOT coalesce({cents} / 100D = ({self.value}), false)"
+        pieces = {
+            f"{self.name}_sum": (F.sum(value), "sum"), f"{self.name}_cents": (F.try_sum(F.expr(cents)), "try_sum"),
+            f"{self.name}_odd": (F.count_if(F.expr(odd)), "sum"),
+        }
+        return pieces | ({f"{self.name}_n": (F.count(value), "sum")} if self.kind == "mean" else {})
 
     def collected(self) -> list[Column]:
         return [first.alias(name) for name, (first, _) in self._pieces().items()]
@@ -37,9 +46,10 @@ class Measure:
         return [getattr(F, merge)(name).alias(name) for name, (_, merge) in self._pieces().items()]
 
     def finished(self) -> Column:
-        if self.kind == "mean":
-            return F.expr(f"try_divide({self.name}_sum, {self.name}_n)").alias(self.name)
-        return F.col(self.name)
+        if self.kind not in ("sum", "mean"):
+            return F.col(self.name)
+        total = f"coalesce(CASE WHEN {self.name}_odd = 0 THEN {self.name}_cents / 100D END, {self.name}_sum)"
+        return F.expr(total if self.kind == "sum" else f"try_divide({total}, {self.name}_n)").alias(self.name)
 
 
 def count_rows(name: str) -> Measure:

@@ -56,6 +56,27 @@ def test_top_merchants_break_ties_by_id(spark):
     assert [row.merchant_id for row in top] == list(range(10))
 
 
+def test_sums_of_cents_do_not_depend_on_the_partitioning(spark):
+    amounts = [number * 0.01 + 1e7 * (number % 7) for number in range(1, 700)]
+    amounts = [round(amount, 2) for amount in amounts]
+    silver = tables(spark, transactions=[dict(transaction_id=at, amount=amount) for at, amount in enumerate(amounts)])
+
+    def totals(parts):
+        dealt = lambda name: silver(name).repartition(parts, "transaction_id") if name == "transactions" else silver(name)
+        return [gold.daily_transaction_summary(dealt).collect(), gold.customer_transaction_metrics(dealt).collect()]
+
+    one = totals(1)
+    assert one == totals(3) == totals(8)
+    assert one[0][0].total_amount == sum(round(amount * 100) for amount in amounts) / 100
+
+
+def test_sums_of_other_values(spark):
+    silver = tables(spark, transactions=[
+        dict(transaction_id=at, amount=amount) for at, amount in enumerate((0.125, 1e300, None, -1e300))])
+    row = gold.daily_transaction_summary(silver).first()
+    assert row.total_amount in (0.0, 0.125) and row.average_amount in (0.0, 0.125 / 3)
+
+
 def test_unique_accounts(spark):
     silver = tables(spark, transactions=[
         dict(transaction_id=number, merchant_id=5, account_id=number % 3) for number in range(9)])
