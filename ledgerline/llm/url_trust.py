@@ -1,8 +1,9 @@
 """URL filters: rules, and trust carried over the link graph, in DataFrame operations only.
 
 A page's url is cut into host and path, and the longest fitting rule decides. Hosts of which most pages are allowed by
-rule are trusted seeds, those of which most are blocked are blocked seeds. Over the edges between hosts (links in the
-pages' html, and a host with its parent domain where both have pages) trust spreads from trusted seeds as personalised
+rule are trusted seeds, those of which most are blocked are blocked seeds; a host without pages that is linked to is a
+seed if a rule fits its path `/`. Over the edges between hosts (links in the pages' html, whether their target has pages
+or not, and a host with its parent domain where each has pages or is linked to) trust spreads from trusted seeds as personalised
 PageRank, and distrust from blocked seeds as the same on reversed edges: who links to a bad host is distrusted. A page no
 rule fits is blocked if its host's distrust, in units of a seed's mean share, reaches `THRESHOLD` and exceeds its trust.
 
@@ -80,33 +81,45 @@ def judged_by_rules(pages: DataFrame, rules=RULES) -> DataFrame:
                       _by_rule(rules, host, path, lambda rule: rule.verdict).alias("ruled"))
 
 
-def edges_of(pages: DataFrame, hosts: DataFrame) -> DataFrame:
-    """(source, target, weight) between different hosts of the pages."""
+def links_of(pages: DataFrame) -> DataFrame:
+    """(source, target, weight) of the links from the pages' hosts to other hosts, with or without pages."""
     own = host_of(F.col("url").cast("string"))
     links = pages.select(own.alias("source"), F.explode(F.regexp_extract_all(
         F.coalesce(F.col("html").cast("string"), F.lit("")), F.lit(_LINK), F.lit(1))).alias("target"))
     links = links.select("source", F.translate("target", _UPPER, _LOWER).alias("target")).where("source <> '' AND source <> target")
-    links = links.groupBy("source", "target").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    return links.groupBy("source", "target").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+
+
+def nodes_of(judged: DataFrame, links: DataFrame, rules=RULES) -> DataFrame:
+    """(host, allowed, blocked) of the hosts that have pages or are linked to: whether they are seeds."""
+    paged = judged.where("host <> ''").groupBy("host").agg(
+        F.count(F.lit(1)).alias("pages"), F.count_if(F.col("ruled") == "allow").alias("allowed"),
+        F.count_if(F.col("ruled") == "block").alias("blocked"))
+    ruled = _by_rule(rules, F.col("host"), F.lit("/"), lambda rule: rule.verdict)
+    linked = links.select(F.col("target").alias("host")).distinct().join(paged, "host", "left_anti").withColumn("ruled", ruled)
+    return paged.select("host", (2 * F.col("allowed") > F.col("pages")).alias("allowed"),
+                        (2 * F.col("blocked") > F.col("pages")).alias("blocked")).union(
+        linked.select("host", F.col("ruled").eqNullSafe("allow"), F.col("ruled").eqNullSafe("block")))
+
+
+def edges_of(links: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(source, target, weight) between different hosts: links, and a host with its parent domain."""
     parent = hosts.select(F.col("host").alias("source"), F.regexp_replace("host", r"^[^.]*\.?", "").alias("target"))
-    parent = parent.where("target <> ''")
+    known = hosts.select(F.col("host").alias("target"))
+    parent = parent.where("target <> ''").join(known, "target", "left_semi").select("source", "target")
     family = parent.union(parent.select("target", "source")).withColumn("weight", F.lit(1.0))
-    known = hosts.select("host")
-    both = links.union(family).groupBy("source", "target").agg(F.sum("weight").alias("weight"))
-    return both.join(known, both["source"] == known["host"], "left_semi").join(
-        known, both["target"] == known["host"], "left_semi")
+    return links.union(family).groupBy("source", "target").agg(F.sum("weight").alias("weight"))
 
 
-def trust(pages: DataFrame, judged: DataFrame) -> DataFrame:
+def trust(pages: DataFrame, judged: DataFrame, rules=RULES) -> DataFrame:
     """(host, trust, distrust) in units of a seed's mean share."""
-    spark = pages.sparkSession
-    hosts = materialise(judged.where("host <> ''").groupBy("host").agg(
-        F.count(F.lit(1)).alias("pages"), F.count_if(F.col("ruled") == "allow").alias("allowed"),
-        F.count_if(F.col("ruled") == "block").alias("blocked")))
+    links = materialise(links_of(pages))
+    hosts = materialise(nodes_of(judged, links, rules))
     sides = hosts.select("host", F.explode(F.array(
-        F.struct(F.lit("trust").alias("side"), (2 * F.col("allowed") > F.col("pages")).alias("seed")),
-        F.struct(F.lit("distrust").alias("side"), (2 * F.col("blocked") > F.col("pages")).alias("seed")))).alias("one"))
+        F.struct(F.lit("trust").alias("side"), F.col("allowed").alias("seed")),
+        F.struct(F.lit("distrust").alias("side"), F.col("blocked").alias("seed")))).alias("one"))
     sides = sides.select("host", "one.side", F.col("one.seed").cast("double").alias("seed"))
-    edges = edges_of(pages, hosts)
+    edges = edges_of(links, hosts)
     edges = edges.select(F.lit("trust").alias("side"), "source", "target", "weight").union(
         edges.select(F.lit("distrust").alias("side"), F.col("target").alias("source"), F.col("source").alias("target"), "weight"))
     out = edges.groupBy("side", "source").agg(F.sum("weight").alias("all"))
@@ -129,7 +142,7 @@ def trust(pages: DataFrame, judged: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every page."""
     judged = judged_by_rules(pages, rules)
-    ranked = trust(pages, judged)
+    ranked = trust(pages, judged, rules)
     bad = ranked.where((F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))).select(
         "host", F.lit(True).alias("bad"))
     joined = lookup(judged, materialise(bad), "host", "left")  # a host with very many pages is spread

@@ -415,6 +415,44 @@ def test_urls(spark, source):
         assert "Python" not in plan and "Arrow" not in plan
 
 
+def dense_trust(seeds, edges):
+    """The solved equations of trust over weighted edges between named hosts."""
+    hosts = sorted({*seeds, *(host for edge in edges for host in edge)})
+    matrix = np.array([[edges.get((a, b), 0) for b in hosts] for a in hosts], dtype=float)
+    share = matrix / np.maximum(matrix.sum(axis=1, keepdims=True), 1e-12)
+    start = (1 - url_trust.DAMPING) * np.array([host in seeds for host in hosts], dtype=float)
+    return dict(zip(hosts, np.linalg.solve(np.eye(len(hosts)) - url_trust.DAMPING * share.T, start)))
+
+
+def reversed_edges(edges):
+    return {(b, a): weight for (a, b), weight in edges.items()}
+
+
+def linking_pages(spark, links):
+    """A page for each source, on a path no rule fits, with links to the targets."""
+    rows = [(number, f"http://{source}/x", "".join(f'<a href="http://{target}/">x</a>' for target in targets))
+            for number, (source, targets) in enumerate(links.items())]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_hosts_without_pages_carry_trust(spark):
+    """Distrust comes from a linked host without pages, through another one, and shares count links to such hosts."""
+    links = {"a.info": ["spam.net"], "b.info": ["a.info"], "c.info": ["hub.biz"], "sub.hub.biz": ["spam.net"],
+             "d.info": ["ok.xyz"], "e.info": ["good.site", *[f"u{at}.biz" for at in range(9)]], "good.site": []}
+    pages = linking_pages(spark, links)
+    rules = (*url_trust.RULES, url_trust.Rule("allow", "ok.xyz", "/"), url_trust.Rule("allow", "e.info", "/"))
+    edges = Counter((source, target) for source, targets in links.items() for target in targets)
+    edges["sub.hub.biz", "hub.biz"] = edges["hub.biz", "sub.hub.biz"] = 1
+    found = {row.host: row for row in url_trust.trust(pages, url_trust.judged_by_rules(pages, rules), rules).collect()}
+    good, bad = dense_trust({"ok.xyz", "e.info"}, edges), dense_trust({"spam.net"}, reversed_edges(edges))
+    assert found.keys() == good.keys()
+    for host, row in found.items():
+        assert abs(row.trust - good[host]) < 0.2 * url_trust.THRESHOLD and abs(row.distrust - bad[host]) < 0.2 * url_trust.THRESHOLD
+    verdicts = {row.host: row.verdict for row in url_trust.judge(pages, rules).collect()}
+    assert verdicts.keys() == links.keys() and verdicts["good.site"] == verdicts["d.info"] == "allow"
+    assert verdicts["a.info"] == verdicts["b.info"] == verdicts["sub.hub.biz"] == "block"
+
+
 def test_empty_tables(spark, folder):
     docs = documents(spark).where("false")
     path = vocabulary("byte_bpe_50k.json")
