@@ -7,6 +7,9 @@ or not, and a host with its parent domain where each has pages or is linked to)
 PageRank, and distrust from blocked seeds as the same on reversed edges: who links to a bad host is distrusted. A page no
 rule fits is blocked if its host's distrust, in units of a seed's mean share, reaches `THRESHOLD` and exceeds its trust.
 
+Values start from (1 - DAMPING) of the seeds and rounds go on until all that is still to come is below `TOLERANCE` for the
+whole graph, far below `THRESHOLD`, so that verdicts are those of the converged values.
+
 Edges are counted before they are shuffled, so a host or a link that is very common is one row per task.
 
 Defined results: a url that is NULL or has no `://` has an empty host and path, fits no rule and is allowed. NULL html has
@@ -41,7 +44,10 @@ RULES = (
     Rule("block", "example.com", "/de/"),
     Rule("allow", "org", "/fr/"),
 )
-DAMPING, ROUNDS, THRESHOLD = 0.85, 10, 0.05
+DAMPING, ROUNDS, THRESHOLD = 0.85, 200, 0.05  # rounds at most: 0.85 ** 200 of a hundred million seeds is below the tolerance
+TOLERANCE = THRESHOLD / 500
+STRIDE = 5  # rounds between two written states
+PART = 10_000  # a host with more edges than this sends its value to several tasks
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LINK = r"""(?i)href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
@@ -111,6 +117,33 @@ def edges_of(links: DataFrame, hosts: DataFrame) -> DataFrame:
     return links.union(family).groupBy("source", "target").agg(F.sum("weight").alias("weight"))
 
 
+def _spread(start: DataFrame, edges: DataFrame, parts: DataFrame) -> DataFrame:
+    """(side, host, value) once all but `TOLERANCE` of the values' sum has arrived.
+
+    `fresh` is what the last round brought; what is still to come is at most its sum times DAMPING / (1 - DAMPING), so no
+    host lacks more than that. A host's own row goes along as an edge without a share, which keeps a round to one join.
+    """
+    states = start.join(parts, ["side", "host"], "left").select(
+        "side", F.col("host").alias("source"), F.coalesce("parts", F.lit(1)).alias("parts"), "value")
+    states = materialise(states)
+    edges = materialise(edges.select("side", "source", "part", "target", "share", F.lit(0).alias("parts")).union(
+        states.select("side", "source", F.lit(0).alias("part"), F.col("source").alias("target"), F.lit(None).cast("double"), "parts")))
+    now = states.withColumn("fresh", F.col("value"))
+    for _ in range(0, ROUNDS, STRIDE):
+        for _ in range(STRIDE):
+            sent = now.select("side", "source", "value", "fresh", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+            got = edges.join(sent, ["side", "source", "part"]).select(
+                "side", "target", "parts", F.when(F.col("share").isNull(), F.col("value")).alias("held"),
+                (F.col("share") * F.col("fresh")).alias("got"))
+            now = got.groupBy("side", F.col("target").alias("source")).agg(
+                F.max("parts").alias("parts"), (F.sum("held") + F.coalesce(F.sum("got"), F.lit(0.0))).alias("value"),
+                F.coalesce(F.sum("got"), F.lit(0.0)).alias("fresh"))
+        now = materialise(now)
+        if now.agg(F.sum("fresh")).first()[0] * DAMPING / (1 - DAMPING) <= TOLERANCE:
+            return now.select("side", F.col("source").alias("host"), "value")
+    raise RuntimeError("trust did not settle")
+
+
 def trust(pages: DataFrame, judged: DataFrame, rules=RULES) -> DataFrame:
     """(host, trust, distrust) in units of a seed's mean share."""
     links = materialise(links_of(pages))
@@ -122,18 +155,14 @@ def trust(pages: DataFrame, judged: DataFrame, rules=RULES) -> DataFrame:
     edges = edges_of(links, hosts)
     edges = edges.select(F.lit("trust").alias("side"), "source", "target", "weight").union(
         edges.select(F.lit("distrust").alias("side"), F.col("target").alias("source"), F.col("source").alias("target"), "weight"))
-    out = edges.groupBy("side", "source").agg(F.sum("weight").alias("all"))
-    edges = materialise(edges.join(out, ["side", "source"]).select("side", "source", "target", (F.col("weight") / F.col("all")).alias("share")))
-    now = sides.select("side", "host", "seed", F.col("seed").alias("value"))
-    if edges.isEmpty():
-        now = now.withColumn("value", (1 - DAMPING) * F.col("seed"))
-    else:
-        now = materialise(now)
-        for _ in range(ROUNDS):
-            sent = edges.join(now.select("side", F.col("host").alias("source"), "value"), ["side", "source"]).groupBy(
-                "side", F.col("target").alias("host")).agg(F.sum(F.col("share") * F.col("value")).alias("got"))
-            now = materialise(now.join(sent, ["side", "host"], "left").select(
-                "side", "host", "seed", ((1 - DAMPING) * F.col("seed") + DAMPING * F.coalesce("got", F.lit(0.0))).alias("value")))
+    out = edges.groupBy("side", "source").agg(F.sum("weight").alias("all"), F.count(F.lit(1)).alias("targets"))
+    parts = F.ceil(F.col("targets") / PART).cast("int")
+    edges = materialise(edges.join(out, ["side", "source"]).select(
+        "side", "source", F.pmod(F.xxhash64("target"), parts).cast("int").alias("part"), "target",
+        (DAMPING * F.col("weight") / F.col("all")).alias("share")))
+    now = sides.select("side", "host", ((1 - DAMPING) * F.col("seed")).alias("value"))
+    if not edges.isEmpty():
+        now = _spread(now, edges, materialise(out.select("side", F.col("source").alias("host"), parts.alias("parts"))))
     return now.groupBy("host").agg(
         F.sum(F.when(F.col("side") == "trust", F.col("value")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("side") == "distrust", F.col("value")).otherwise(0.0)).alias("distrust"))

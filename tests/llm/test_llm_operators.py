@@ -453,6 +453,25 @@ def test_hosts_without_pages_carry_trust(spark):
     assert verdicts["a.info"] == verdicts["b.info"] == verdicts["sub.hub.biz"] == "block"
 
 
+@pytest.mark.parametrize("part", [10_000, 2])
+def test_trust_is_converged(spark, monkeypatch, part):
+    """A chain towards a blocked seed, and a parent domain with eight children, one of them a blocked seed."""
+    monkeypatch.setattr(url_trust, "PART", part)
+    links = {f"h{at}.info": [f"h{at - 1}.info"] for at in range(1, 13)} | {"h0.info": []}
+    links |= {f"s{at}.big.org": [] for at in range(8)} | {"big.org": []}
+    pages = linking_pages(spark, links)
+    rules = (url_trust.Rule("block", "h0.info", "/"), url_trust.Rule("block", "s0.big.org", "/"))
+    edges = {(source, target): 1 for source, targets in links.items() for target in targets}
+    edges |= {edge: 1 for at in range(8) for edge in ((f"s{at}.big.org", "big.org"), ("big.org", f"s{at}.big.org"))}
+    wanted = dense_trust({"h0.info", "s0.big.org"}, reversed_edges(edges))
+    found = {row.host: row for row in url_trust.trust(pages, url_trust.judged_by_rules(pages, rules), rules).collect()}
+    assert found.keys() == wanted.keys()
+    assert all(abs(row.distrust - wanted[host]) <= url_trust.TOLERANCE and row.trust == 0 for host, row in found.items())
+    blocked = {row.host for row in url_trust.judge(pages, rules).collect() if row.verdict == "block"}
+    assert blocked == {host for host, value in wanted.items() if value >= url_trust.THRESHOLD}
+    assert "h10.info" not in blocked and "s1.big.org" not in blocked
+
+
 def test_empty_tables(spark, folder):
     docs = documents(spark).where("false")
     path = vocabulary("byte_bpe_50k.json")
