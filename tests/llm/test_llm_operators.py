@@ -176,6 +176,20 @@ def test_recall_is_kept_by_shortening():
     assert near_join.chance(0.8, near_join.DEPTH) < near_join.RECALL <= near_join.chance(0.8, near_join.DEPTH - 1)
 
 
+def test_no_isolated_pair_at_the_threshold_is_lost(spark):
+    """Pairs at 0.8 exactly, beside a text with very many near copies of higher similarity."""
+    rows, chance = [], random.Random(8)
+    for pair in range(2_000):
+        body = [f"w{chance.getrandbits(40)}" for _ in range(49)]  # 45 shingles; 5 of them change with the last word but four
+        rows += [(2 * pair, " ".join(body)), (2 * pair + 1, " ".join([*body[:-5], "changed", *body[-4:]]))]
+    assert {len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b)) for (_, a), (_, b) in zip(rows[::2], rows[1::2])} == {0.8}
+    body = [f"word{at}" for at in range(100)]
+    rows += [(10_000 + at, " ".join(body if at % 2 else [*body[:-1], "other"])) for at in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {row.doc_id: (row.class_id, row.n_links) for row in near_join.near_classes(docs).collect()}
+    assert all(found[at] == (at - at % 2, 1) for at in range(4_000)) and all(found[at] == (10_000, 1_999) for at in range(10_000, 12_000))
+
+
 def test_quality(spark):
     held = QUERIES["op6_quality"](spark, SMALL)
     rows = held.join(table(spark, "labels"), "doc_id").where("held_out").collect()
