@@ -297,6 +297,24 @@ def test_network_learns_and_reads_whole_runs():
     assert secret_scan.train([], [], np.zeros(0, dtype=int)) is None
 
 
+@pytest.mark.parametrize("mixed", [0, 30])
+def test_threshold_keeps_the_recall(mixed):
+    """Also where some findings look like what no rule names, so that the quantile is below one half."""
+    chance = random.Random(9)
+    plain = ["tion", "ing", "the", "er"]
+    runs = ["".join(chance.choice(plain if at < mixed else "0123456789abcdef") for _ in range(12 if at < mixed else 40)) for at in range(200)]
+    runs += ["".join(chance.choice(plain) for _ in range(12)) for _ in range(600)]
+    labels = np.array([1] * 200 + [0] * 600)
+    order = np.array(chance.sample(range(800), 800))
+    texts = [(f"x {runs[at]} y", (2, 2 + len(runs[at]))) for at in order]
+    labels = labels[order]
+    net = secret_scan.train([secret_scan.windows(*one) for one in texts], [secret_scan.windows(*one, False) for one in texts], labels)
+    back = (np.arange(800) % 4 == 3) & (labels == 1)
+    kept = net.chance([secret_scan.windows(*one) for one in texts])[back] >= net.threshold
+    assert kept.mean() >= secret_scan.RECALL
+    assert (net.threshold < 0.5) == bool(mixed)
+
+
 def test_token_lengths(docs):
     held = token_lengths.histogram(docs).cache()
     lengths = [len(library_ids("byte_bpe_50k.json", text, 0)) - 1 for _, text in pairs(docs)]
