@@ -315,6 +315,22 @@ def test_threshold_keeps_the_recall(mixed):
     assert (net.threshold < 0.5) == bool(mixed)
 
 
+def test_short_secrets_are_candidates(spark):
+    """Values of 6 to 15 characters are learned from the rules' own and found beside a word the rules lack."""
+    cut = lambda text: [text[start:end] for start, end in secret_scan.candidates(text)]
+    assert cut('pwd: "hunter" key= 123456 auth Xy7kQ2p ------ plainword LOUDER 1234567 aB-cde') == ["hunter", "123456", "Xy7kQ2p", "aB-cde"]
+    assert cut("abcde x:abcde " + "a" * 16) == ["a" * 16]
+    chance = random.Random(10)
+    value = lambda: "".join(chance.choice("abcdefghijkmnpqrstuvwxyz23456789QRSTUVWXYZ") for _ in range(10))
+    rows = [(at, f"some text password: {value()} and Capital Letters note: nothing api_key = {value()} Another") for at in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    network = secret_scan.fit(docs)
+    hidden = [value() for _ in range(50)]
+    found = [[kind for *_, kind in spans] for spans in secret_scan.find([f"some text pwd: {one} and Capital" for one in hidden], network)]
+    assert sum(kinds == ["learned"] for kinds in found) >= 45
+    assert not any(kind == "learned" for _, _, kind in secret_scan.find(["note: nothing and Capital Letters Another"], network)[0])
+
+
 def test_token_lengths(docs):
     held = token_lengths.histogram(docs).cache()
     lengths = [len(library_ids("byte_bpe_50k.json", text, 0)) - 1 for _, text in pairs(docs)]
