@@ -3,7 +3,8 @@
 Each block starts from nothing. For every id, two predictors name one id each: the one that last followed the two ids
 before (order 2) and the one before (order 1), with how often in a row they were right. What they are worth is learned:
 adaptive chances, by both counts and whether they agree, mix them with an order-0 model of adaptive counts (of an id's
-high byte, and of its low byte given the high one). The mixture is one interval of 2**36, which a range coder narrows.
+high byte, and of its low byte given the high one: the high bytes 0 to 2 have a table each, all others share one). The
+order-0 intervals are renewed at certain steps only, through the whole block. The mixture is one interval of 2**36, which a range coder narrows.
 Encoder and decoder run the same model, all blocks of a batch abreast in numpy, one id of each at a step; every operation
 is on all blocks, as picking some of them costs more than it saves. Carries are settled once, when a batch is done.
 """
@@ -15,8 +16,8 @@ import numpy as np
 BLOCK = 2048  # ids of a block
 LANES = 4096  # blocks abreast
 _SLOTS = 11  # bits of a predictor's table
-_RENEWED = tuple(1 << at for at in range(5, 11))  # the order-0 intervals are renewed after so many ids
-_LOWS = 2  # tables of low bytes: one each for the first high bytes, the last for all others
+_RENEWED = (32, 64, 128, *range(256, BLOCK, 256))  # the order-0 intervals are renewed after so many ids
+_LOWS = 4  # tables of low bytes: one each for the first high bytes, the last for all others
 _GAIN = np.float32(24)  # what an id adds to its counts, which start at 1
 _U = np.uint64
 _WINDOW, _DIGIT = 56, 16  # bits of the coder's window, and of what leaves it at a time
