@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as registered queries over the whole tables of a folder."""
+"""The thirteen operators and the pipeline as registered queries over the whole tables of a folder."""
 
 from __future__ import annotations
 
@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontamination, hash_search, id_files, near_join, packing, personal_data, quality, secret_scan, token_lengths, url_trust
+from ledgerline.llm import (
+    collocations, decontamination, fill_middle, hash_search, id_files, near_join, oracles, packing, personal_data, quality,
+    secret_scan, token_lengths, url_trust, word_languages,
+)
 from ledgerline.llm.spans import digest
 from ledgerline.llm.token_ids import vocabulary
 from ledgerline.session import shared_folder
@@ -71,6 +74,24 @@ def op10_id_files(spark: SparkSession, folder: str) -> DataFrame:
     return id_files.documents(spark, files)
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+def op12_word_languages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    judged = word_languages.identify(docs.select("doc_id", "text"), word_languages.fit(docs))
+    held_out = F.coalesce(word_languages.remainder() == 2, F.lit(False))
+    return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = fill_middle.restore(fill_middle.transform(table(spark, folder, "documents").select("doc_id", "text")))
+    digest = lambda name: F.sha2(F.col(name).cast("binary"), 256)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output").alias("output_sha256"),
+                       digest("restored").alias("restored_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -82,6 +103,9 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_token_lengths": op9_token_lengths,
     "op10_id_files": op10_id_files,
+    "op11_collocations": op11_collocations,
+    "op12_word_languages": op12_word_languages,
+    "op13_fill_middle": op13_fill_middle,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_collocations": oracles.COLLOCATIONS, "op13_fill_middle": oracles.FILL_MIDDLE}
