@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.model import ENTITIES, PARTITION_COLUMNS
 from ledgerline.operators.checks import stack
-from ledgerline.plans import bronze, derive, gold, marts, profile, quality, silver
+from ledgerline.plans import allotment, bronze, comparisons, derive, gold, levels, marts, profile, quality, silver, timeline
 from ledgerline.plans.lake import OUTCOME, VALID
 from ledgerline.plans.publish import TARGETS, Publisher, Target, guard, prepare, schema_findings, PublishError
 from ledgerline.sources.files import conform, scan, scan_tree, write_table
@@ -287,6 +287,19 @@ def _over_gold(plan: Callable[[Callable], DataFrame]) -> Query:
     return lambda spark, folder: on_grid(plan(_gold(spark, folder)))
 
 
+def _checked_and_unchecked(compare: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """Customer metrics as published and over unchecked rows, on the grid before they are compared."""
+    def compared(spark: SparkSession, folder: str) -> DataFrame:
+        unchecked = comparisons.unchecked_customer_metrics(lake_over(spark, folder).bronze)
+        return compare(on_grid(_written_gold(spark, folder)("customer_transaction_metrics")), on_grid(unchecked))
+
+    return compared
+
+
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/events.parquet")
+
+
 def _over_raw(plan: Callable[[Callable], DataFrame]) -> Query:
     return lambda spark, folder: on_grid(plan(raw_over(spark, folder)))
 
@@ -373,5 +386,23 @@ def build() -> dict[str, Query]:
     found["publish_count_check"] = publish_count_check
     found["publish_history"] = publish_history
     found["installment_schedule"] = _over_silver(lambda tables: derive.installment_schedule(tables("loans")))
+    found["asof_account_state"] = _over_silver(timeline.transactions_with_state)
+    found["transactions_by_account_state"] = _over_silver(timeline.transactions_by_state)
+    found["open_accounts_at_payments"] = _over_silver(timeline.open_accounts_at_payments)
+    found["overlapping_loans"] = _over_silver(timeline.overlapping_loans)
+    found["event_sessions"] = lambda spark, folder: timeline.event_sessions(_events(spark, folder))
+    found["event_running_totals"] = lambda spark, folder: timeline.event_running_totals(_events(spark, folder))
+    found["account_cube"] = _over_silver(levels.account_cube)
+    found["account_rollup"] = _over_silver(levels.account_rollup)
+    found["sketch_checks"] = _over_silver(levels.sketch_checks)
+    found["top_merchants_by_state_month"] = _over_silver(comparisons.top_merchants_by_state_and_month)
+    found["customer_row_differences"] = _checked_and_unchecked(comparisons.customer_row_differences)
+    found["customer_reconciliation"] = _checked_and_unchecked(comparisons.customer_reconciliation)
+    found["bronze_silver_differences"] = lambda spark, folder: comparisons.bronze_silver_differences(
+        "accounts", lake_over(spark, folder).bronze, lake_over(spark, folder).silver)
+    for name in ENTITIES:
+        found[f"failures_{name}"] = _over_bronze(partial(comparisons.failure_rows, name))
+    found["failure_combinations"] = _over_bronze(comparisons.failure_combinations)
+    found["allotted_payments"] = _over_silver(allotment.allotted)
     found["eligible_card_accounts"] = _over_silver(lambda tables: derive.eligible_card_accounts(tables("accounts")))
     return found

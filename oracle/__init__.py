@@ -27,6 +27,6 @@ def complete(query: str) -> str:
 
 
 def build() -> dict[str, str]:
-    from oracle.queries import QUERIES
+    from oracle import beyond, queries
 
-    return {name: complete(text) for name, text in QUERIES.items()}
+    return {name: complete(text) for name, text in (queries.QUERIES | beyond.QUERIES).items()}
