@@ -4,11 +4,13 @@ Items are cut into seeds, hashes of five words in a row. A pass over whole docum
 (tested against a bitmap of fixed size, so that false ones may pass and nothing is lost); a join on the seeds gives the
 pairs of document and item. Each pair is tiled: the longest match of unmarked words, from rolling (Karp-Rabin) hashes of
 every window, is marked in both, again and again, until none of five words is left. Tiles never overlap, and their order
-does not matter, so reordered passages count in full. A pair is contaminated if the tiles cover enough of the item.
+does not matter, so reordered passages count in full. Seeds and windows meet by hashes; the words of every window that
+met are compared before it counts. A pair is contaminated if the tiles cover enough of the item.
 
 Defined results: NULL texts count as empty. Items of fewer than five words have no seed and contaminate nothing. Repeated
 items (equal id and text) are one; repeated documents each give their pairs. Empty tables give no pairs. A document's id
-may be NULL or repeat; pairs carry it as it is.
+may be NULL or repeat; pairs carry it as it is. Very long texts are tiled whole. Ties between matches go to the one that
+comes first in the item, then in the document. Other columns of the documents are not read, so none can clash.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.frames import free_name, materialise, text_key, whole_text
-from ledgerline.llm.words import SHINGLE, Words, grams_of, slices, words_of
+from ledgerline.llm.words import SHINGLE, Words, grams_of, numbers_of, slices, words_of
 
 COVERAGE = 0.5
 MAP_BITS = 26  # of the bitmap of seeds: 8 MB, whatever the benchmark's size
@@ -32,10 +34,10 @@ def _seeds(batches):
         words = words_of(texts)
         grams = grams_of(words, SHINGLE)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("item"), pa.array([words.hashes[a:b].tobytes() for a, b in zip(words.starts, words.starts[1:])], pa.binary()),
+            [batch.column("item"), batch.column("text"),
              pa.array([np.unique(grams.hashes[a:b]).view(np.int64) for a, b in zip(grams.starts, grams.starts[1:])],
                       pa.list_(pa.int64()))],
-            names=["item", "item_words", "seeds"])
+            names=["item", "item_text", "seeds"])
 
 
 def _bitmap(seeds: DataFrame) -> np.ndarray:
@@ -53,7 +55,7 @@ def _suspects(table):
         bits = table.value
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            ids, keys, held_seeds, held_words = [], [], [], []
+            ids, held_seeds = [], []
             for begin, end in slices(texts):
                 words = words_of(texts[begin:end])
                 grams = grams_of(words, SHINGLE)
@@ -64,18 +66,20 @@ def _suspects(table):
                 for text in np.unique(owner).tolist():
                     ids.append(begin + text)
                     held_seeds.append(np.unique(grams.hashes[places[owner == text]]).view(np.int64))
-                    held_words.append(words.hashes[words.starts[text]:words.starts[text + 1]].tobytes())
             chosen = pa.array(ids, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(chosen), batch.column("key").take(chosen),
-                 pa.array(held_seeds, pa.list_(pa.int64())), pa.array(held_words, pa.binary())],
-                names=["doc_id", "key", "seeds", "words"])
+                 pa.array(held_seeds, pa.list_(pa.int64())), batch.column("text").take(chosen)],
+                names=["doc_id", "key", "seeds", "text"])
 
     return found
 
 
 def tile(item: np.ndarray, document: np.ndarray, least: int = SHINGLE) -> list[tuple[int, int, int]]:
-    """Non-overlapping tiles (item place, document place, words), longest first, of two arrays of word hashes."""
+    """Non-overlapping tiles (item place, document place, words), longest first, of two arrays of word numbers.
+
+    Windows meet by their rolling hashes, as Karp and Rabin have it, and are then compared word by word.
+    """
     def windows(words: np.ndarray) -> np.ndarray:
         return grams_of(Words(words, np.array([0, len(words)])), least).hashes
 
@@ -87,6 +91,9 @@ def tile(item: np.ndarray, document: np.ndarray, least: int = SHINGLE) -> list[t
     repeat = high - low
     there = np.repeat(places, repeat)
     here = order[np.arange(repeat.sum()) + np.repeat(low - (np.cumsum(repeat) - repeat), repeat)]
+    for step in range(least):
+        same = item[here + step] == document[there + step]
+        here, there = here[same], there[same]
     tiles = []
     while len(here):
         by_diagonal = np.lexsort((here, there - here))
@@ -108,9 +115,9 @@ def _tiled(coverage: float):
         for batch in batches:
             rows = {"doc_id": [], "key": [], "item_id": [], "coverage": [], "tiles": []}
             for at, items in enumerate(batch.column("items").to_pylist()):
-                document = np.frombuffer(batch.column("words")[at].as_py(), dtype=np.uint64)
-                for held in items:
-                    item = np.frombuffer(held["item_words"], dtype=np.uint64)
+                held_words = numbers_of([batch.column("text")[at].as_py(), *(held["item_text"] for held in items)])
+                document, *parts = np.split(held_words.hashes, held_words.starts[1:-1])
+                for held, item in zip(items, parts):
                     found = tile(item, document)
                     share = sum(size for _, _, size in found) / len(item)
                     if share >= coverage:
@@ -130,16 +137,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, coverage: float = COV
     kind = docs.schema["doc_id"].dataType.simpleString()
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), whole_text().alias("text")).distinct()
     items = materialise(items.select(F.struct("item_id").alias("item"), "text").mapInArrow(
-        _seeds, "item struct<item_id bigint>, item_words binary, seeds array<bigint>"))
-    seeds = items.select(F.explode("seeds").alias("seed"), F.struct("item.item_id", "item_words").alias("held"))
+        _seeds, "item struct<item_id bigint>, item_text string, seeds array<bigint>"))
+    seeds = items.select(F.explode("seeds").alias("seed"), F.struct("item.item_id", "item_text").alias("held"))
     table = spark.sparkContext.broadcast(_bitmap(seeds))
     suspects = docs.select("doc_id", text_key().alias("key"), whole_text().alias("text")).mapInArrow(
-        _suspects(table), f"doc_id {kind}, key binary, seeds array<bigint>, words binary")
+        _suspects(table), f"doc_id {kind}, key binary, seeds array<bigint>, text string")
     suspects = materialise(suspects.withColumn("row", F.monotonically_increasing_id()))
     entries = F.broadcast(seeds) if seeds.count() <= SMALL_SEEDS else seeds
     pairs = suspects.select("row", F.explode("seeds").alias("seed")).join(entries, "seed").groupBy("row").agg(
         F.collect_set("held").alias("items"))
-    return suspects.select("row", "doc_id", "key", "words").join(pairs, "row").drop("row").mapInArrow(
+    return suspects.select("row", "doc_id", "key", "text").join(pairs, "row").drop("row").mapInArrow(
         _tiled(coverage), f"doc_id {kind}, key binary, item_id bigint, coverage double, tiles bigint")
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.frames import components, free_name, materialise, text_key, whole_text
-from ledgerline.llm.words import mix, shingles_of, slices, words_of
+from ledgerline.llm.words import mix, numbers_of, shingle_numbers, shingles_of, slices, words_of
 from ledgerline.operators.lookup import lookup
 
 TREES, DEPTH, LABEL = 32, 6, 2  # bytes of a label
@@ -81,7 +81,7 @@ def blocks_linked(texts: list[str], copies: np.ndarray, side: np.ndarray, thresh
     `side` 0 or 1 tells the two blocks apart; if both occur only pairs across are looked at, else all pairs.
     """
     count = len(texts)
-    grams = shingles_of(words_of(texts))
+    grams = shingle_numbers(numbers_of(texts))  # the words themselves decide, not their hashes
     owner = np.repeat(np.arange(count), np.diff(grams.starts))
     order = np.lexsort((owner, grams.hashes))
     hashes, owner = grams.hashes[order], owner[order]

@@ -1,8 +1,10 @@
 """Token ids of whole texts with the tokenizers library, many texts at once.
 
 Pieces (the words that a tokenizer's pattern cuts a text into) are found for all texts of a slice together in numpy;
-each distinct piece is encoded once by the library's model and remembered. Texts with characters beyond Latin, or
-holding one of the vocabulary's special strings, go to the library whole. Both ways give the same ids, which tests check.
+each distinct piece is encoded once by the library's model and remembered. Pieces are looked up by a hash, but a hash never
+stands for a piece: its characters are compared with those that were encoded, and a text with a piece that shares its hash
+with another one goes to the library whole, as do texts with characters beyond Latin (before or after lower-casing) and
+texts holding one of the vocabulary's special strings. Both ways give the same ids, which tests check.
 """
 
 from __future__ import annotations
@@ -44,15 +46,49 @@ def _byte_characters() -> dict[int, str]:
     return {byte: chr(byte) if byte in plain else chr(next(spare)) for byte in range(256)}
 
 
+class Runs(NamedTuple):
+    """Characters of many pieces: piece i is `codes[begin[i]:end[i]]`."""
+
+    codes: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+
+    def take(self, at: np.ndarray) -> Runs:
+        return Runs(self.codes, self.begin[at], self.end[at])
+
+    def packed(self) -> np.ndarray:
+        """The characters of all pieces, one piece after the other."""
+        size = self.end - self.begin
+        run = np.cumsum(size)
+        if not len(run):
+            return self.codes[:0]
+        return self.codes[np.arange(run[-1]) + np.repeat(self.begin - (run - size), size)]
+
+
+def equal_runs(one: Runs, other: Runs) -> np.ndarray:
+    """Whether piece i of one is piece i of the other, character by character."""
+    size = one.end - one.begin
+    same = size == other.end - other.begin
+    left, right = one.take(same), other.take(same)
+    differs = np.concatenate([[0], np.cumsum(left.packed() != right.packed())])
+    ends = np.cumsum(size[same])
+    same[same] = differs[ends] == differs[ends - size[same]]
+    return same
+
+
 class Memory:
-    """Ids of pieces by the pieces' 64-bit hashes: sorted arrays, so that a slice's pieces are looked up together."""
+    """Ids and characters of pieces by the pieces' 64-bit hashes: sorted arrays, so that a slice's pieces are looked up
+    together."""
 
     def __init__(self):
         self.hashes = np.zeros(0, dtype=np.uint64)
         self.places = np.zeros(0, dtype=np.int64)
         self.sizes = np.zeros(0, dtype=np.int32)
+        self.begin = np.zeros(0, dtype=np.int64)
+        self.end = np.zeros(0, dtype=np.int64)
         self.pool = np.zeros(1 << 20, dtype="<u4")
-        self.filled = 0
+        self.codes = np.zeros(1 << 20, dtype="<u2")
+        self.filled = self.written = 0
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in the table, whether it is there)."""
@@ -61,7 +97,7 @@ class Memory:
         known[known] = self.hashes[at[known]] == hashes[known]
         return at, known
 
-    def add(self, hashes: np.ndarray, ids: list[list[int]]) -> None:
+    def add(self, hashes: np.ndarray, ids: list[list[int]], pieces: Runs) -> None:
         if len(self.hashes) + len(hashes) > REMEMBERED:
             self.__init__()
         sizes = np.fromiter(map(len, ids), dtype=np.int32, count=len(ids))
@@ -71,11 +107,20 @@ class Memory:
         self.pool[self.filled:self.filled + total] = [one for piece in ids for one in piece]
         places = self.filled + np.cumsum(sizes) - sizes
         self.filled += total
+        letters = pieces.packed()
+        while self.written + len(letters) > len(self.codes):
+            self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
+        self.codes[self.written:self.written + len(letters)] = letters
+        end = self.written + np.cumsum(pieces.end - pieces.begin)
+        begin = end - (pieces.end - pieces.begin)
+        self.written += len(letters)
         order = np.argsort(hashes)
         at = np.searchsorted(self.hashes, hashes[order])
         self.hashes = np.insert(self.hashes, at, hashes[order])
         self.places = np.insert(self.places, at, places[order])
         self.sizes = np.insert(self.sizes, at, sizes[order])
+        self.begin = np.insert(self.begin, at, begin[order])
+        self.end = np.insert(self.end, at, end[order])
 
 
 class Encoder:
@@ -92,7 +137,7 @@ class Encoder:
         self.memory = Memory()
         self.known = True
         probe = "It's  a\n Test, 12 x'll "
-        if self._quick([probe]).flat.tolist() != self.library.encode(probe, add_special_tokens=False).ids:
+        if self._quick([probe])[0].flat.tolist() != self.library.encode(probe, add_special_tokens=False).ids:
             self.known = False  # a vocabulary with another pattern: the library does it all
 
     def _piece(self, piece: str) -> list[int]:
@@ -127,7 +172,8 @@ class Encoder:
             keep &= kind[begin] != SPACE
         return begin[keep], end[keep]
 
-    def _quick(self, texts: list[str]) -> Ids:
+    def _quick(self, texts: list[str]) -> tuple[Ids, np.ndarray]:
+        """(ids, texts that the library has to do because two different pieces share a hash)."""
         if self.style == "word":
             texts = [text.lower() for text in texts]
         whole = "\0".join(texts) + "\0"
@@ -135,7 +181,8 @@ class Encoder:
         begin, end = self._starts(codes, whole)
         bounds = np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1)
         if not len(begin):
-            return Ids(np.zeros(0, dtype=np.uint32), np.zeros(len(texts) + 1, dtype=np.int64))
+            return Ids(np.zeros(0, dtype=np.uint32), np.zeros(len(texts) + 1, dtype=np.int64)), np.zeros(0, dtype=np.int64)
+        runs = Runs(codes, begin, end)
         hashes = run_hashes(codes, begin, end)
         which, distinct = pd.factorize(hashes)
         first = np.empty(len(distinct), dtype=np.int64)
@@ -148,18 +195,21 @@ class Encoder:
         if not known.all():
             new = first[~known]
             pieces = [self._piece(whole[b:e]) for b, e in zip(begin[new].tolist(), end[new].tolist())]
-            self.memory.add(distinct[~known], pieces)
+            self.memory.add(distinct[~known], pieces, runs.take(new))
             if not self.memory.find(distinct)[1].all():  # it was cleared just now
                 gone = first[known]
                 pieces = [self._piece(whole[b:e]) for b, e in zip(begin[gone].tolist(), end[gone].tolist())]
-                self.memory.add(distinct[known], pieces)
+                self.memory.add(distinct[known], pieces, runs.take(gone))
             at, _ = self.memory.find(distinct)
+        kept = Runs(self.memory.codes, self.memory.begin[at], self.memory.end[at])
+        alike = equal_runs(runs, kept.take(which))
+        mixed = np.unique(np.searchsorted(bounds, begin[~alike], side="right"))
         sizes, places, pool = self.memory.sizes[at], self.memory.places[at], self.memory.pool
         per_piece = sizes[which].astype(np.int64)
         run = np.cumsum(per_piece)
         flat = pool[np.arange(run[-1]) + np.repeat(places[which] - (run - per_piece), per_piece)]
         run = np.concatenate([[0], run])
-        return Ids(flat, np.concatenate([[0], run[np.searchsorted(begin, bounds)]]))
+        return Ids(flat, np.concatenate([[0], run[np.searchsorted(begin, bounds)]])), mixed
 
     def encode(self, texts: list[str]) -> Ids:
         """The ids of all texts, one text after the other."""
@@ -167,7 +217,8 @@ class Encoder:
         for begin, end in slices(texts, SLICE):
             part = texts[begin:end]
             odd = {at for at, text in enumerate(part) if not self._plain(text)}
-            quick = self._quick(["" if at in odd else text for at, text in enumerate(part)] if odd else part)
+            quick, mixed = self._quick(["" if at in odd else text for at, text in enumerate(part)] if odd else part)
+            odd.update(mixed.tolist())
             if not odd:
                 parts.append(quick.flat)
                 sizes[begin:end] = np.diff(quick.starts)
@@ -187,6 +238,8 @@ class Encoder:
             if "İ" in text:
                 return False
             text = text.lower()
+            if not text.isascii() and _ODD.search(text):  # some Latin capitals have small letters beyond
+                return False
         return not any(word in text for word in self.special)
 
 

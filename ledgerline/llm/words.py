@@ -1,7 +1,9 @@
 """Words and word shingles of many texts at once, as 64-bit hashes in numpy arrays.
 
 A word is a maximal run of ASCII letters, ASCII digits and non-ASCII characters, lower-cased. Hashes are polynomials
-of the UTF-8 bytes modulo 2**64, mixed afterwards; they depend on nothing but the word.
+of the UTF-8 bytes modulo 2**64, mixed afterwards; they depend on nothing but the word. Different words can share one, also
+by design, so hashes only find candidates. Whatever decides compares the words: `numbers_of` and `shingle_numbers` give
+numbers that are equal for equal words and shingles alone, within one call.
 """
 
 from __future__ import annotations
@@ -9,6 +11,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 
 SHINGLE = 5
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -115,6 +118,42 @@ def shingles_of(words: Words, size: int = SHINGLE) -> Words:
     return Words(hashes, grams.starts + np.concatenate([[0], np.cumsum(extra)]))
 
 
+_APART = bytes(byte if inside else 32 for byte, inside in enumerate(_WORD.tolist()))
+
+
+def numbers_of(texts: list[str]) -> Words:
+    """As `words_of`, with numbers from 0 on instead of hashes: equal for equal words of these texts, and for no others."""
+    held = [text.lower().encode("utf-8", "surrogatepass").translate(_APART).split() for text in texts]
+    starts = np.concatenate([[0], np.cumsum([len(words) for words in held], dtype=np.int64)]).astype(np.int64)
+    flat = np.array([word for words in held for word in words], dtype=object)
+    return Words(pd.factorize(flat)[0].astype(np.uint64) if len(flat) else np.zeros(0, dtype=np.uint64), starts)
+
+
+def shingle_numbers(words: Words, size: int = SHINGLE) -> Words:
+    """As `shingles_of`, for the numbers of `numbers_of`: equal for equal shingles, and for no others."""
+    numbers, starts = words.hashes.astype(np.int64), words.starts
+    counts = np.diff(starts)
+    base = int(numbers.max(initial=0)) + 2
+    code = numbers + 1
+    out = []
+    for step in range(1, size + 1):
+        if step > 1:  # one word more: the number of the pair (so far, next word); 0 stands for the end of a text
+            ahead = np.zeros(len(numbers), dtype=np.int64)
+            there = max(len(numbers) - step + 1, 0)
+            ahead[:there] = numbers[len(numbers) - there:] + 1
+            code = pd.factorize(code * base + ahead)[0].astype(np.int64) if len(code) else code
+        if step < size:
+            out.append((np.flatnonzero(counts == step), code))
+    keep = np.maximum(counts - size + 1, 0)
+    keep[(counts > 0) & (counts < size)] = 1
+    out_starts = np.concatenate([[0], np.cumsum(keep)])
+    at = np.arange(out_starts[-1]) + np.repeat(starts[:-1] - out_starts[:-1], keep)
+    found = code[at] * size if len(at) else np.zeros(0, dtype=np.int64)
+    for step, (short, so_far) in enumerate(out, start=1):  # a short text's shingle is told apart by its size
+        found[out_starts[short]] = so_far[starts[short]] * size + step
+    return Words(found.astype(np.uint64), out_starts)
+
+
 def slices(texts: list[str], characters: int = 1 << 20):
     """(from, to) of runs of texts with about so many characters together, so that arrays stay small."""
     begin, held = 0, 0

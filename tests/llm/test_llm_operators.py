@@ -18,7 +18,8 @@ from ledgerline.llm import (
 from ledgerline.llm.queries import QUERIES
 from ledgerline.llm.spans import digest
 from ledgerline.llm.token_ids import encoder, vocabulary
-from llm_samples import BENCHMARK, documents
+from llm_samples import BENCHMARK, documents, words
+from test_llm_texts import colliding
 from tests.conftest import SMALL
 
 
@@ -131,6 +132,19 @@ def test_tiles_of_repeats():
         assert len(places) == len(set(places)) and sum(n for *_, n in found) >= 0.6 * tiles(item.tolist(), document.tolist())
 
 
+def test_colliding_words_are_no_leak_and_no_copy(spark):
+    """Words that share a polynomial hash are different words."""
+    one, other = colliding(1_024)
+    item = " ".join([one, "alpha", one, "beta", one, "gamma", one, "delta"])
+    assert decontamination.contaminated(
+        spark.createDataFrame([(1, item.replace(one, other)), (2, item)], "doc_id long, text string"),
+        spark.createDataFrame([(7, item)], "item_id long, text string")).select("doc_id").collect() == [(2,)]
+    rest = " ".join(words(30, 40))
+    docs = spark.createDataFrame([(1, f"{one} {rest}"), (2, f"{other} {rest}"), (3, one), (4, other), (5, one)], "doc_id long, text string")
+    found = {row.doc_id: (row.class_id, row.n_links) for row in near_join.near_classes(docs, threshold=0.99).collect()}
+    assert found == {1: (1, 0), 2: (2, 0), 3: (3, 1), 4: (4, 0), 5: (3, 1)}
+
+
 def shingles(text):
     words = plain_words(text)
     return {tuple(words[at:at + 5]) for at in range(max(1, len(words) - 4))} if words else set()

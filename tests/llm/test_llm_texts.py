@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 
@@ -11,7 +12,7 @@ import pytest
 from ledgerline.llm import id_coder
 from ledgerline.llm.id_files import joined_crc32
 from ledgerline.llm.token_ids import encoder, vocabulary
-from ledgerline.llm.words import shingles_of, words_of
+from ledgerline.llm.words import numbers_of, shingle_numbers, shingles_of, words_of
 
 ODD = [
     "", "  ", " a  b\n\n c\n", "it's don't x's  's ''s 'll've\n's \t're", "<|endoftext|> hi", "日本 x", "İx", "A 12³ ½ x_y--z 's",
@@ -29,6 +30,57 @@ def test_ids_are_the_librarys(name):
         assert found.flat[found.starts[at]:found.starts[at + 1]].tolist() == held.library.encode(text, add_special_tokens=False).ids
 
 
+SMALL_FORM_BEYOND = "ƁƆƉƊƏƐƓƔƖƗƜƝƟƦƩƮƱƲƷȺȾɄɅ"
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_all_latin_characters(name):
+    """Every code point below U+0250, alone, in a word and in random company, mixed in one call."""
+    held = encoder(vocabulary(name))
+    chance = random.Random(6)
+    texts = [text for code in range(0x250) for text in (chr(code), f"ab{chr(code)}cd {chr(code)}")]
+    texts += [f"{sign}li {sign.lower()}" for sign in SMALL_FORM_BEYOND] + ["Əliyev gəldi", "Əli İ"]
+    texts += ["".join(chr(chance.randrange(0x250)) if chance.random() < 0.5 else chance.choice(" ab'1.\n") for _ in range(chance.randrange(1, 30)))
+              for _ in range(3_000)]
+    found = held.encode(texts)
+    for at, text in enumerate(texts):
+        assert found.flat[found.starts[at]:found.starts[at + 1]].tolist() == held.library.encode(text, add_special_tokens=False).ids, text
+
+
+def colliding(size, one="a", other="b"):
+    """The word of Thue and Morse and its complement: polynomials modulo a power of two cannot tell them apart."""
+    signs = [bin(at).count("1") % 2 for at in range(size)]
+    return "".join((one, other)[sign] for sign in signs), "".join((other, one)[sign] for sign in signs)
+
+
+@pytest.mark.parametrize("size", [1_024, 2_048, 4_096])
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_colliding_pieces(name, size):
+    one, other = colliding(size)
+    assert len(set(words_of([one, other]).hashes.tolist())) == 1
+    held = encoder(vocabulary(name))
+    for texts in ([one, other], [f"x {other} y", one], [other, one, f"{one} {other}", "plain"]):
+        found = held.encode(texts)
+        for at, text in enumerate(texts):
+            assert found.flat[found.starts[at]:found.starts[at + 1]].tolist() == held.library.encode(text, add_special_tokens=False).ids
+
+
+def test_numbers_of_words_and_shingles():
+    """Equal numbers for equal words and shingles and for no others, colliding words and short texts included."""
+    chance = random.Random(9)
+    pool = [*colliding(1_024), "a", "b", "é", "C3"]
+    texts = [" ".join(chance.choice(pool) for _ in range(chance.randrange(0, 9))) + "." for _ in range(300)] + ["", " !", "a b", "a b"]
+    held = numbers_of(texts)
+    plain = [re.findall(r"[a-z0-9\x80-\U0010ffff]+", text.lower()) for text in texts]
+    flat = [word for words in plain for word in words]
+    assert len({(word, number) for word, number in zip(flat, held.hashes.tolist())}) == len(set(flat)) == len(set(held.hashes.tolist()))
+    grams = shingle_numbers(held)
+    wanted = [tuple(words[at:at + 5]) for words in plain for at in range(max(1, len(words) - 4)) if words]
+    assert len(wanted) == len(grams.hashes)
+    assert len(set(zip(wanted, grams.hashes.tolist()))) == len(set(wanted)) == len(set(grams.hashes.tolist()))
+    assert np.diff(grams.starts).tolist() == [max(1, len(words) - 4) if words else 0 for words in plain]
+
+
 def test_words_and_shingles():
     texts = ["", "One two, three-four é4 FIVE six", "a b", "x" * 70_000 + " hi", " .. "]
     held = words_of(texts)
