@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.frames import sampled, whole_text
+from ledgerline.llm.frames import materialise, sampled, whole_text
 from ledgerline.llm.words import mix, slices
 
 UNKNOWN = "und"
@@ -43,6 +43,7 @@ SEQUENCE, SEQUENCES = 64, 2_000
 ROUNDS = 60
 RIDGE = 1e-6
 BLOCK = 64
+SLICE = 1 << 20  # characters labelled together
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -317,7 +318,8 @@ def lexicon_of(taught: DataFrame, limit: int = LEXICON) -> tuple[list[str], dict
                         out[language, word] += count
             yield pd.DataFrame([(*key, count) for key, count in out.items()], columns=["lang", "word", "n"])
 
-    counts = taught.mapInPandas(counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = materialise(
+        taught.mapInPandas(counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")))
     totals = {row.lang: row.n for row in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
     held = F.map_from_entries(F.collect_list(F.struct("lang", "n")))  # one entry a language
@@ -366,7 +368,7 @@ def hash_place(key: str, room: int) -> int:
 
 def _chances(texts: list[str], model: Model) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For slices of texts: (from, to, starts of the texts among the slice's words, chances of these words)."""
-    for begin, end in slices(texts, 1 << 22):
+    for begin, end in slices(texts, SLICE):
         held = [words_in(text) for text in texts[begin:end]]
         flat = [word for words in held for word in words]
         sizes = np.fromiter(map(len, held), dtype=np.int64, count=len(held))
