@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.model import ENTITIES, PARTITION_COLUMNS
 from ledgerline.operators.checks import stack
-from ledgerline.plans import allotment, bronze, comparisons, derive, gold, levels, marts, profile, quality, silver, timeline
+from ledgerline.plans import allotment, bronze, comparisons, derive, gold, incremental, levels, marts, profile, quality, silver, timeline
 from ledgerline.plans.lake import OUTCOME, VALID
 from ledgerline.plans.publish import TARGETS, Publisher, Target, guard, prepare, schema_findings, PublishError
 from ledgerline.sources.files import conform, scan, scan_tree, write_table
-from ledgerline.workspace import fresh_folder, gold_over, lake_over, raw_over
+from ledgerline.workspace import fresh_folder, gold_over, incremental_over, lake_over, raw_over
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -386,6 +386,11 @@ def build() -> dict[str, Query]:
     found["publish_count_check"] = publish_count_check
     found["publish_history"] = publish_history
     found["installment_schedule"] = _over_silver(lambda tables: derive.installment_schedule(tables("loans")))
+    for name in ENTITIES:
+        found[f"incremental_silver_{name}"] = lambda spark, folder, name=name: incremental_over(spark, folder).silver(name)
+    found["incremental_quarantine_transactions"] = lambda spark, folder: incremental_over(spark, folder).quarantine("transactions")
+    for name, model in incremental.MODELS.items():
+        found[f"incremental_gold_{name}"] = lambda spark, folder, model=model: on_grid(model(incremental_over(spark, folder)))
     found["asof_account_state"] = _over_silver(timeline.transactions_with_state)
     found["transactions_by_account_state"] = _over_silver(timeline.transactions_by_state)
     found["open_accounts_at_payments"] = _over_silver(timeline.open_accounts_at_payments)

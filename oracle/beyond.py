@@ -167,4 +167,9 @@ for _entity, _key in KEYS.items():
     QUERIES[f"failures_{_entity}"] = f"""
         SELECT {_key}, array_to_string(codes, ',') AS failures, CAST(len(codes) AS BIGINT) AS failure_count
         FROM ({_codes(_entity)}) WHERE len(codes) > 0"""
+    QUERIES[f"incremental_silver_{_entity}"] = f"SELECT * FROM si_{_entity}"
+QUERIES["incremental_quarantine_transactions"] = "SELECT * FROM qu_transactions"
+QUERIES |= {f"incremental_gold_{model}": f"SELECT * FROM {table}" for model, table in (
+    ("daily_transaction_summary", "go_daily"), ("customer_transaction_metrics", "go_customer"),
+    ("merchant_performance", "go_merchant"), ("loan_portfolio", "go_loan"))}
 QUERIES["failure_combinations"] = "\nUNION ALL ".join(_combinations(entity) for entity in KEYS)
