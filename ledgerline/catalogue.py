@@ -19,6 +19,7 @@ from ledgerline.plans import allotment, bronze, comparisons, derive, gold, incre
 from ledgerline.plans.lake import OUTCOME, VALID
 from ledgerline.plans.publish import TARGETS, Publisher, Target, guard, prepare, schema_findings, PublishError
 from ledgerline.sources.files import conform, scan, scan_tree, write_table
+from ledgerline.streaming import windows
 from ledgerline.workspace import fresh_folder, gold_over, incremental_over, lake_over, raw_over
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -300,6 +301,35 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/events.parquet")
 
 
+ARRIVALS = 4  # micro-batches that the events are dealt into
+
+
+def _files(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
+def _arrived(spark: SparkSession, folder: str) -> str:
+    """The events as files that arrived one after the other."""
+    source = f"{fresh_folder(spark, 'arrivals')}/events"
+    windows.deal_arrivals(_events(spark, folder), source, ARRIVALS, files=_files(spark))
+    return source
+
+
+def stream_event_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly totals by event type, as a stream leaves them."""
+    source, sink = _arrived(spark, folder), windows.BatchSink(fresh_folder(spark, "windows"))
+    windows.run(windows.window_totals(windows.read_stream(spark, source, _files(spark))), sink, fresh_folder(spark, "progress"), "update")
+    return windows.latest(windows.written(spark, sink, windows.WINDOW_ROWS), ["window_start", "event_type"])
+
+
+def stream_event_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions of each user, as a stream leaves them."""
+    source, sink = _arrived(spark, folder), windows.BatchSink(fresh_folder(spark, "sessions"))
+    totals = windows.session_totals(windows.read_stream(spark, source, _files(spark)))
+    windows.run_to_the_end(spark, source, totals, sink, fresh_folder(spark, "progress"), _files(spark))
+    return windows.written(spark, sink, windows.SESSION_ROWS).drop("batch")
+
+
 def _over_raw(plan: Callable[[Callable], DataFrame]) -> Query:
     return lambda spark, folder: on_grid(plan(raw_over(spark, folder)))
 
@@ -397,6 +427,8 @@ def build() -> dict[str, Query]:
     found["overlapping_loans"] = _over_silver(timeline.overlapping_loans)
     found["event_sessions"] = lambda spark, folder: timeline.event_sessions(_events(spark, folder))
     found["event_running_totals"] = lambda spark, folder: timeline.event_running_totals(_events(spark, folder))
+    found["stream_event_windows"] = stream_event_windows
+    found["stream_event_sessions"] = stream_event_sessions
     found["account_cube"] = _over_silver(levels.account_cube)
     found["account_rollup"] = _over_silver(levels.account_rollup)
     found["sketch_checks"] = _over_silver(levels.sketch_checks)

@@ -62,6 +62,17 @@ QUERIES: dict[str, str] = {
         SELECT event_id, user_id, ts, count(*) OVER w AS running_events,
           CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER w AS BIGINT) AS running_cents
         FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+    "stream_event_windows": """
+        SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS event_count,
+          CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total_cents
+        FROM events GROUP BY 1, 2""",
+    "stream_event_sessions": """
+        SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS event_count,
+          CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total_cents
+        FROM (SELECT *, sum(CASE WHEN earlier IS NULL OR ts >= earlier + INTERVAL 6 HOURS THEN 1 ELSE 0 END)
+                OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session
+              FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS earlier FROM events))
+        GROUP BY user_id, session""",
     "top_merchants_by_state_month": f"""
         SELECT state, year, month, CAST(rank AS INTEGER) AS rank, merchant_id, merchant_name, transaction_count, sales_cents,
           CAST((sales_cents * 10000) // all_cents AS BIGINT) AS share_basis_points
