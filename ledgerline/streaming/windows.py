@@ -116,16 +116,20 @@ def latest(rows: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def deal_arrivals(events: DataFrame, folder: str, parts: int, disorder: str = "1 HOUR", files: int = 1) -> None:
-    """Write events as files that arrive one after the other, each row up to `disorder` after later ones."""
+    """Write events as files that arrive one after the other, each row up to `disorder` after later ones. Rows without a
+    moment never arrive."""
     late = F.expr(f"CAST(INTERVAL {disorder} AS INTERVAL SECOND)")
     arrival = F.when(F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0, F.col("ts") + late).otherwise(F.col("ts"))
     known = events.select(EVENTS.names).withColumn("_arrival", arrival)
     edges = known.agg(F.min("_arrival").alias("a"), F.max("_arrival").alias("b")).first()
-    step = (edges.b - edges.a) / parts if edges.a else None
+    if edges.a is None:
+        known.drop("_arrival").write.mode("append").parquet(folder)
+        return
+    step = (edges.b - edges.a) / parts
     for part in range(parts):
         rows = known
         if part > 0:
             rows = rows.where(F.col("_arrival") >= F.lit(edges.a + step * part).cast("timestamp_ntz"))
-        if part < parts - 1 and step is not None:
+        if part < parts - 1:
             rows = rows.where(F.col("_arrival") < F.lit(edges.a + step * (part + 1)).cast("timestamp_ntz"))
         rows.drop("_arrival").repartition(files).write.mode("append").parquet(folder)
