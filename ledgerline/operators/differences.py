@@ -35,7 +35,7 @@ def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     both = left.withColumn("_sign", F.lit(1)).unionByName(right.select(columns).withColumn("_sign", F.lit(-1)))
     hashed = both.withColumn("_hash", row_hash(left))
     unequal = hashed.groupBy("_hash").agg(F.sum("_sign").alias("n")).where("n <> 0").select("_hash")
-    suspects = lookup(hashed, materialise(unequal), "_hash")
+    suspects = lookup(hashed, materialise(unequal), "_hash", sparse=True)
     return suspects.groupBy(*columns).agg(F.sum("_sign").alias("difference")).where("difference <> 0")
 
 

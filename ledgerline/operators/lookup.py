@@ -3,7 +3,8 @@
 Two ways, both exact:
 
 * the looked-up side is measured and, within the budget, broadcast: the large side is not shuffled at all;
-* beyond it, one shuffle join on the key and a salt. The salt is 0 but for keys that hold a large share of the rows, whose
+* beyond it, one shuffle join on the key and a salt; where few rows are expected to match (`sparse`), a sieve of bounded size
+  (see operators.sieve) drops those that certainly do not before the shuffle. The salt is 0 but for keys that hold a large share of the rows, whose
   rows are spread over several salts and whose entries are repeated for each. There are at most `HOT_KEYS` such keys,
   those with most rows, so they are broadcast. Rows without a key have no entry and are spread as well.
 """
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.operators.sieve import Sieve
 from ledgerline.session import broadcast_budget, materialise
 
 HOT_KEYS = 100_000  # the keys beyond these hold less than 1/HOT_KEYS of the rows each
@@ -46,12 +48,12 @@ def hot_keys(rows: DataFrame, key: str, floor: int = HOT_FLOOR) -> DataFrame:
 
 def lookup(
     rows: DataFrame, entries: DataFrame, key: str, how: str = "inner", floor: int = HOT_FLOOR, *,
-    counted: DataFrame | None = None, shuffled: list[str] | None = None,
+    counted: DataFrame | None = None, shuffled: list[str] | None = None, sparse: bool = False,
 ) -> DataFrame:
     """`rows` joined (inner or left) with `entries`, which hold at most one row per key.
 
     `counted` is a cheaper frame with the same keys as `rows`, for finding hot ones. If the rows are shuffled, the key
-    is added to `shuffled`, so that a writer knows that they have lost their layout.
+    is added to `shuffled`, so that a writer knows that they have lost their layout. `sparse` tells that few rows match.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"lookup is inner or left, not {how}")
@@ -61,6 +63,8 @@ def lookup(
 
     if shuffled is not None:
         shuffled.append(key)
+    if sparse and how == "inner":
+        rows = Sieve(entries, key).kept(rows)
     hot = materialise(hot_counts(rows if counted is None else counted, key, floor))
     salts = hot.select(key, F.least(F.ceil(F.col("copies") / floor), F.lit(MOST_SALTS)).cast("int").alias("_salts"))
     # The same for a repeated task: it depends on the row and on the number of its partition.

@@ -164,7 +164,7 @@ class IncrementalLake:
             parents = came.where(F.col(reference.parent_key).isNotNull()).distinct()
             waiting = lookup(
                 old.select(entity.key, reference.column).where(F.col(entity.key).isNotNull()),
-                materialise(parents.select(F.col(reference.parent_key).alias(reference.column))), reference.column)
+                materialise(parents.select(F.col(reference.parent_key).alias(reference.column))), reference.column, sparse=True)
             keys.append(waiting.select(entity.key))
         return reduce(DataFrame.unionByName, keys).distinct()
 
@@ -175,7 +175,7 @@ class IncrementalLake:
         dirty = scan(self.spark, self.path("replaced", name, batch), key)
         affected = self._new(name, batch)
         if batch > 1:
-            affected = affected.unionByName(lookup(self.bronze(name, batch - 1), dirty, entity.key))
+            affected = affected.unionByName(lookup(self.bronze(name, batch - 1), dirty, entity.key, sparse=True))
         tables = lambda other: affected if other == name else self.bronze(other, batch)
         write_table(silver.checked(name, tables), self.path("checked", name, batch))
 
@@ -192,7 +192,7 @@ class IncrementalLake:
         parts = [collect_state(prepared(rows), by, state, 1)]
         if batch > 1:
             dirty = scan(self.spark, self.path("replaced", name, batch), key)
-            taken = lookup(self.silver(name, batch - 1), dirty, entity.key)
+            taken = lookup(self.silver(name, batch - 1), dirty, entity.key, sparse=True)
             parts.append(collect_state(prepared(taken), by, state, -1))
         write_table(stack(parts), self.path("state", kept, batch))
 
@@ -210,7 +210,7 @@ class IncrementalLake:
         key = F.struct(*by).alias("_group")
         touched = materialise(left.where(f"{TAKEN} > 0").select(key))
         rows = self._movements(self.silver("transactions")).select(*by, "amount", "transaction_timestamp").withColumn("_group", key)
-        own = lookup(rows, touched, "_group").groupBy("_group").agg(
+        own = lookup(rows, touched, "_group", sparse=True).groupBy("_group").agg(
             *(F.expr(STATE[name][0]).alias(f"_own_{name}") for name in wanted))
         found = lookup(left.withColumn("_group", key), materialise(own), "_group", "left")
         right = {name: F.when(F.col(TAKEN) > 0, F.col(f"_own_{name}")).otherwise(F.col(name)) for name in wanted}

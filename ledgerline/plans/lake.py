@@ -8,7 +8,7 @@ reader of either prunes the other away. Gold models read Silver as written inste
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,10 +56,14 @@ class Lake:
         """Check an entity and write its valid and quarantined rows."""
         layout = ENTITIES[name].layout
         outcome = F.when(F.col("quality_error").isNull(), VALID).otherwise(QUARANTINED)
-        shuffled: list[str] = []
-        rows = silver.checked(name, self.bronze, shuffled).withColumn(OUTCOME, outcome)
+        folders = (OUTCOME, *layout)
+        still, *shuffled = [part.withColumn(OUTCOME, outcome) for part in silver.checked_parts(name, self.bronze)]
+        if layout and self._gather:
+            still = still.hint("rebalance", *folders)
+        if layout:  # rows that a lookup has shuffled are brought together again; the others lie as Bronze has them
+            shuffled = [part.hint("rebalance", *folders) for part in shuffled]
         path = self.path("checked", name)
-        write_table(rows, path, (OUTCOME, *layout), gather=bool(layout) and (self._gather or bool(shuffled)))
+        write_table(reduce(DataFrame.unionByName, shuffled, still), path, folders, gather=False)
         self._open.pop(path, None)
 
     def build_gold(self, name: str) -> None:

@@ -2,13 +2,15 @@
 
 A row carries the first error found, in the order row rules, reference, savings-account card rule, duplicate. The
 reference and duplicate checks come down to key sets computed from single columns (see operators.keys); the wide rows
-are then marked through `lookup`, which leaves them unshuffled as long as the offending keys are few.
+are then marked through `lookup`, which leaves them unshuffled as long as the offending keys are few. Where they are many,
+`checked_parts` has only those rows shuffled that may be offending.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,29 +19,38 @@ from ledgerline.functions.rules import RULES, first_failure, validate
 from ledgerline.functions.text import normalise, normalised_columns
 from ledgerline.model import ENTITIES, Entity, Reference
 from ledgerline.operators.keys import matched_keys, repeated_keys, unmatched_keys
-from ledgerline.operators.lookup import lookup
-from ledgerline.session import materialise
+from ledgerline.operators.lookup import lookup, measured_bytes
+from ledgerline.operators.sieve import Sieve
+from ledgerline.session import broadcast_budget, materialise
 
 Tables = Callable[[str], DataFrame]  # entity name -> its Bronze rows
 
 SAVINGS_CARD_CODE = "INVALID_CARD_TYPE_FOR_SAVINGS"
 
 
-def _mark(
-    rows: DataFrame, key: str, marks: Mapping[str, DataFrame], source: DataFrame, shuffled: list[str] | None,
-) -> DataFrame:
-    """Add a boolean column for each of `marks`, saying whether the row's key is among its keys: one key set, one lookup.
+class Marks(NamedTuple):
+    """Boolean columns for the rows whose key is in a set; `members` has one row a key, with those of `flags` that hold."""
 
-    `source` has the same keys as `rows`, before they were normalised and marked.
-    """
+    key: str
+    members: DataFrame
+    flags: tuple[str, ...]
+
+
+def _members(key: str, marks: Mapping[str, DataFrame]) -> Marks:
+    """One key set for all of `marks` (flag -> keys), written once."""
     flagged = [keys.where(F.col(key).isNotNull()).select(key, F.lit(flag).alias("_flag")) for flag, keys in marks.items()]
     if len(flagged) == 1:
         flag = next(iter(marks))
-        members = materialise(flagged[0].select(key)).withColumn(flag, F.lit(True))
-    else:
-        either = [F.max(F.when(F.col("_flag") == flag, F.lit(True))).alias(flag) for flag in marks]
-        members = materialise(reduce(DataFrame.unionByName, flagged).groupBy(key).agg(*either))
-    return lookup(rows, members, key, "left", counted=source, shuffled=shuffled)
+        return Marks(key, materialise(flagged[0].select(key)).withColumn(flag, F.lit(True)), (flag,))
+    either = [F.max(F.when(F.col("_flag") == flag, F.lit(True))).alias(flag) for flag in marks]
+    return Marks(key, materialise(reduce(DataFrame.unionByName, flagged).groupBy(key).agg(*either)), tuple(marks))
+
+
+def _mark(rows: DataFrame, marks: Sequence[Marks], source: DataFrame, shuffled: list[str] | None) -> DataFrame:
+    """Add the flags, one lookup a key. `source` has the same keys as `rows`, before they were normalised and marked."""
+    for one in marks:
+        rows = lookup(rows, one.members, one.key, "left", counted=source, shuffled=shuffled)
+    return rows
 
 
 def _parents(entity: Entity, reference: Reference, tables: Tables) -> DataFrame:
@@ -66,42 +77,42 @@ def _savings_error() -> Column:
     return F.when(F.col("_savings") & (F.col("card_type") != "DEBIT"), F.lit(SAVINGS_CARD_CODE))
 
 
-def mark_references(
-    name: str, rows: DataFrame, tables: Tables, shuffled: list[str] | None = None,
-) -> tuple[DataFrame, list[Column]]:
-    """Mark rows whose reference has no parent, and credit cards on savings accounts; return the error columns."""
+def reference_marks(name: str, tables: Tables) -> tuple[list[Marks], list[Column]]:
+    """Rows whose reference has no parent, and credit cards on savings accounts; with the error columns."""
     entity = ENTITIES[name]
-    bronze = tables(name)
     errors: list[Column] = []
     marks: dict[str, dict[str, DataFrame]] = {}
     for reference in entity.references:
         flag = f"_no_{reference.parent}"
         marks.setdefault(reference.column, {})[flag] = unmatched_keys(
-            bronze, reference.column, _parents(entity, reference, tables), reference.parent_key)
+            tables(name), reference.column, _parents(entity, reference, tables), reference.parent_key)
         unmatched = F.col(reference.column).isNull() | F.coalesce(F.col(flag), F.lit(False))
         errors.append(F.when(unmatched, F.lit(reference.code)))
     if name == "cards":
         marks.setdefault("account_id", {})["_savings"] = _offending_cards(tables)
         errors.append(_savings_error())
-    for key, sets in marks.items():
-        rows = _mark(rows, key, sets, bronze, shuffled)
-    return rows, errors
+    return [_members(key, sets) for key, sets in marks.items()], errors
+
+
+def duplicate_marks(name: str, tables: Tables) -> tuple[list[Marks], Column]:
+    """Every copy of a repeated key is an error, including copies that already carry another one."""
+    entity = ENTITIES[name]
+    marks = _members(entity.key, {"_repeated": repeated_keys(tables(name), entity.key)})
+    return [marks], F.when(F.col("_repeated"), F.lit(entity.duplicate_code))
 
 
-def mark_savings_cards(rows: DataFrame, tables: Tables) -> tuple[DataFrame, Column]:
-    """A savings account may only have debit cards."""
-    marks = {"_savings": _offending_cards(tables)}
-    return _mark(rows, "account_id", marks, tables("cards"), None), _savings_error()
+def mark_references(
+    name: str, rows: DataFrame, tables: Tables, shuffled: list[str] | None = None,
+) -> tuple[DataFrame, list[Column]]:
+    marks, errors = reference_marks(name, tables)
+    return _mark(rows, marks, tables(name), shuffled), errors
 
 
 def mark_duplicates(
     name: str, rows: DataFrame, tables: Tables, shuffled: list[str] | None = None,
 ) -> tuple[DataFrame, Column]:
-    """Every copy of a repeated key is an error, including copies that already carry another one."""
-    entity = ENTITIES[name]
-    repeated = repeated_keys(tables(name), entity.key)
-    rows = _mark(rows, entity.key, {"_repeated": repeated}, tables(name), shuffled)
-    return rows, F.when(F.col("_repeated"), F.lit(entity.duplicate_code))
+    marks, error = duplicate_marks(name, tables)
+    return _mark(rows, marks, tables(name), shuffled), error
 
 
 def normalised(name: str, tables: Tables) -> DataFrame:
@@ -118,22 +129,42 @@ def _finish(name: str, rows: DataFrame, errors: list[Column]) -> DataFrame:
     return rows.withColumn("quality_error", F.coalesce(*errors)).select(schema.names)
 
 
+def _parts(name: str, marks: Sequence[Marks], errors: list[Column], tables: Tables) -> list[DataFrame]:
+    """All rows with their error, in parts: one that is shuffled nowhere and, where key sets are too large to broadcast, one of
+    the rows that a sieve of these keys lets through, the only ones that meet them in a shuffle."""
+    found = [first_failure(RULES[name]), *errors]
+    rows = normalised(name, tables)
+    budget = broadcast_budget(rows.sparkSession)
+    wide = [one for one in marks if measured_bytes(one.members) > budget]
+    rows = _mark(rows, [one for one in marks if one not in wide], tables(name), None)
+    if not wide:
+        return [_finish(name, rows, found)]
+    names = [f"_maybe_{number}" for number in range(len(wide))]
+    for one, maybe in zip(wide, names):
+        rows = Sieve(one.members, one.key).marked(rows, maybe)
+    possible = reduce(Column.__or__, map(F.col, names))
+    apart = {flag: F.lit(None).cast("boolean") for one in wide for flag in one.flags}
+    few = rows.where(possible)
+    return [_finish(name, rows.where(~possible).withColumns(apart), found),
+            _finish(name, _mark(few, wide, few.select(*{one.key for one in wide}), None), found)]
+
+
 def checked_references(name: str, tables: Tables) -> DataFrame:
     """Row rules, then references."""
-    rows, errors = mark_references(name, normalised(name, tables), tables)
-    return _finish(name, rows, [first_failure(RULES[name]), *errors])
+    marks, errors = reference_marks(name, tables)
+    return reduce(DataFrame.unionByName, _parts(name, marks, errors, tables))
 
 
 def checked_savings_cards(tables: Tables) -> DataFrame:
     """The savings-account card rule on its own, after the row rules."""
-    rows, error = mark_savings_cards(normalised("cards", tables), tables)
-    return _finish("cards", rows, [first_failure(RULES["cards"]), error])
+    marks = _members("account_id", {"_savings": _offending_cards(tables)})
+    return reduce(DataFrame.unionByName, _parts("cards", [marks], [_savings_error()], tables))
 
 
 def checked_duplicates(name: str, tables: Tables) -> DataFrame:
     """Row rules, then duplicates."""
-    rows, error = mark_duplicates(name, normalised(name, tables), tables)
-    return _finish(name, rows, [first_failure(RULES[name]), error])
+    marks, error = duplicate_marks(name, tables)
+    return reduce(DataFrame.unionByName, _parts(name, marks, [error], tables))
 
 
 def checked(name: str, tables: Tables, shuffled: list[str] | None = None) -> DataFrame:
@@ -143,6 +174,13 @@ def checked(name: str, tables: Tables, shuffled: list[str] | None = None) -> Dat
     return _finish(name, rows, [first_failure(RULES[name]), *references, duplicate])
 
 
+def checked_parts(name: str, tables: Tables) -> list[DataFrame]:
+    """The rows of `checked` in parts, for a writer that leaves all but the last ones where they are (see `_parts`)."""
+    references, errors = reference_marks(name, tables)
+    duplicates, duplicate = duplicate_marks(name, tables)
+    return _parts(name, [*references, *duplicates], [*errors, duplicate], tables)
+
+
 def valid_rows(name: str, rows: DataFrame) -> DataFrame:
     return rows.where("quality_error IS NULL").select(ENTITIES[name].bronze_schema.names)
 
