@@ -1,6 +1,7 @@
 """Run a flow from the command line or spark-submit:
 
 python -m ledgerline run --source DIR --lake DIR --namespace NAME
+python -m ledgerline increment --source DIR --lake DIR --batch NUMBER
 python -m ledgerline models --lake DIR
 python -m ledgerline profile --source DIR
 """
@@ -20,6 +21,10 @@ def main() -> None:
     run.add_argument("--source", required=True)
     run.add_argument("--lake", required=True)
     run.add_argument("--namespace", default="banking")
+    increment = commands.add_parser("increment", help="one more delivery of generated files into an incremental lake")
+    increment.add_argument("--source", required=True)
+    increment.add_argument("--lake", required=True)
+    increment.add_argument("--batch", type=int, required=True)
     models = commands.add_parser("models", help="SQL models over the Silver tables of a lake")
     models.add_argument("--lake", required=True)
     profile = commands.add_parser("profile", help="profile of generated files")
@@ -29,6 +34,8 @@ def main() -> None:
     spark = build_session()
     if given.command == "run":
         reports = flows.run(spark, given.source, given.lake, given.namespace)
+    elif given.command == "increment":
+        reports = flows.run_increment(spark, given.source, given.lake, given.batch)
     elif given.command == "models":
         reports = flows.run_models(spark, given.lake)
     else:

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.model import ENTITIES
 from ledgerline.operators.checks import stack
 from ledgerline.plans import bronze, gold, marts, profile, quality
+from ledgerline.plans.incremental import MODELS, IncrementalLake
 from ledgerline.plans.lake import Lake
 from ledgerline.plans.publish import Publisher
-from ledgerline.sources.files import scan
+from ledgerline.sources.files import exists, scan, write_table
 
 
 def open_lake(spark: SparkSession, root: str) -> Lake:
@@ -45,6 +47,22 @@ def run(spark: SparkSession, source: str, root: str, namespace: str) -> Iterator
     yield "published", stack([publisher.history(target) for target in gold.MODELS])
 
 
+def run_increment(spark: SparkSession, source: str, root: str, batch: int) -> Iterator[tuple[str, DataFrame]]:
+    """Take one more delivery of generated files into an incremental lake and publish nothing: Gold follows from its state.
+
+    Entities without a file in `source` have nothing new. A batch that is already committed is not taken twice.
+    """
+    lake = IncrementalLake(spark, root)
+    paths = {name: f"{source}/{name}.parquet" for name in ENTITIES}
+    lake.apply(batch, {
+        name: scan(spark, path, ENTITIES[name].columns) for name, path in paths.items() if exists(spark, path)})
+    yield "silver rows", quality.row_counts(lake.silver, lake.quarantine)
+    for name, model in MODELS.items():
+        write_table(model(lake), f"{root}/gold/{name}", gold.LAYOUTS.get(name, ()), spread=gold.FOLDER_TASKS)
+        rows = scan(spark, f"{root}/gold/{name}", gold.SCHEMAS[name])
+        yield f"gold {name}", rows.agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def run_models(spark: SparkSession, root: str) -> Iterator[tuple[str, DataFrame]]:
     """Build the SQL models of a lake, register them as views and run their column tests."""
     models = marts.build_tables(spark, open_lake(spark, root).silver, f"{root}/models")

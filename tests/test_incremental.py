@@ -9,6 +9,7 @@ import pytest
 
 from ledgerline.model import ENTITIES
 from ledgerline.plans import gold, incremental, silver
+from ledgerline.plans import run as flows
 from ledgerline.plans.bronze import add_partition_columns
 from ledgerline.plans.incremental import IncrementalLake
 from tests.samples import MOMENT, frame
@@ -122,6 +123,18 @@ def test_a_broken_batch_is_repeated(spark, batches, folder, monkeypatch):
     assert bag(lake.checked("transactions")) == bag(silver.checked("transactions", full(spark, 2)))
 
 
+def test_the_flow_takes_deliveries(spark, batches, folder):
+    """Two deliveries, the second without most files; Gold as written has the rows of the models."""
+    for number in (1, 2):
+        for name, rows in batches[number - 1].items():
+            rows.write.parquet(f"{folder}/in{number}/{name}.parquet")
+        reports = dict(flows.run_increment(spark, f"{folder}/in{number}", f"{folder}/lake", number))
+    lake = IncrementalLake(spark, f"{folder}/lake")
+    counts = {row.entity: row.valid_rows for row in reports["silver rows"].collect()}
+    assert counts["transactions"] == lake.silver("transactions").count() == 6
+    assert reports["gold daily_transaction_summary"].first().row_count == lake.daily_transaction_summary().count()
+
+
 def test_only_key_columns_of_old_rows_are_read_for_dirty_keys(lake):
     plan = lake.dirty_keys("transactions", 3)._jdf.queryExecution().executedPlan().toString()
     assert "amount" not in plan and "CartesianProduct" not in plan
