@@ -14,7 +14,8 @@ best of its shard for each query, and a pre-aggregated merge picks the best of a
 Defined results: vectors that are NULL, empty, zero, or hold NULL or non-finite components take no part, neither do those
 whose length is not the commonest one (the longer of equally common ones) nor rows without an id. Equal rows are one; a
 row of a query's own id is no candidate; rows of one id with different vectors are candidates each. Ties go to smaller ids.
-Fewer candidates than wanted are all returned. An empty table gives no rows.
+Rows of one id with different vectors share one list as queries: it holds the best of all of them. Fewer candidates than
+wanted are all returned. An empty table gives no rows. Only the id and the vector are read, so other columns cannot clash.
 """
 
 from __future__ import annotations

@@ -13,7 +13,11 @@ Work: a cluster of k different texts costs k*k/`BLOCK` shipped texts, which coun
 
 Defined results: NULL text counts as empty; a text without words has no links and is a class of its own, row by row;
 one to four words are one shingle. Equal texts (and equal rows) are one class and link to each other. The class id is
-the smallest doc_id of the class, NULL only if all are NULL. An empty table gives an empty result.
+the smallest doc_id of the class, NULL only if all are NULL. An empty table gives an empty result. Very long texts are compared
+whole. `near_classes` reads the id and the text only; `one_of_each` keeps all columns, whatever their names.
+
+The depth follows from the threshold and the wanted recall, the same for every text: since no link may be lost, a text that
+has found many near copies cannot stop above that depth, and none gains from going below it.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ become spans of their own; what the rules find always stays.
 
 Defined results: NULL texts count as empty; empty texts have no spans. Offsets are code points, end exclusive. A sample
 without any finding teaches nothing, and only the rules speak. Rows repeat and tie freely: a result depends on the text
-(and the model) alone. Columns of any name pass through.
+(and the model) alone. Very long texts are read whole. An empty table gives an empty one. Columns of any name pass through.
 """
 
 from __future__ import annotations

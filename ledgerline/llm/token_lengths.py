@@ -5,7 +5,8 @@ number of different lengths and not with the documents. Suffix sums over the len
 and over the ranges) answer totals, quantiles and truncated totals for every context limit.
 
 Defined results: NULL and empty texts have length 0. Repeated rows count each. An empty table gives an empty histogram,
-for which totals are 0 and quantiles None. Only the text column is read.
+for which totals are 0 and quantiles None. Very long texts are encoded whole and have a length like others; texts of equal
+length are one row, so there are no ties. Only the text column is read, so other columns cannot clash.
 """
 
 from __future__ import annotations

@@ -14,6 +14,8 @@ Edges are counted before they are shuffled, so a host or a link that is very com
 
 Defined results: a url that is NULL or has no `://` has an empty host and path, fits no rule and is allowed. NULL html has
 no links. Repeated pages count as often as they stand. Without seeds of a kind its values are 0. An empty table gives none.
+Urls and html of any length are read whole. A host with as many allowed as blocked pages is no seed, and distrust that equals
+trust allows. Only the id, url and html are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
