@@ -45,6 +45,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this application wrote and nobody reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast to the declared columns, in order. Timestamps become microseconds without zone; NULL stays NULL."""
     return rows.select(*(F.col(field.name).cast(field.dataType).alias(field.name) for field in schema.fields))
