@@ -22,6 +22,7 @@ from ledgerline.llm.words import run_hashes, slices
 LATIN = 0x250
 REMEMBERED = 1_500_000  # pieces a worker remembers, at about 30 bytes each, before it starts anew
 SLICE = 5 << 19  # characters looked at together
+STEPS = 24  # characters of a piece that are compared for all pieces together
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
 _CLASS = np.full(LATIN, OTHER, dtype=np.int8)
 for _code in range(LATIN):
@@ -66,13 +67,23 @@ class Runs(NamedTuple):
 
 
 def equal_runs(one: Runs, other: Runs) -> np.ndarray:
-    """Whether piece i of one is piece i of the other, character by character."""
+    """Whether piece i of one is piece i of the other: first characters of all, then second ones, the rest of long pieces
+    together. Arrays stay as small as the number of pieces, which are short."""
     size = one.end - one.begin
     same = size == other.end - other.begin
-    left, right = one.take(same), other.take(same)
-    differs = np.concatenate([[0], np.cumsum(left.packed() != right.packed())])
-    ends = np.cumsum(size[same])
-    same[same] = differs[ends] == differs[ends - size[same]]
+    at = np.flatnonzero(same)
+    left, right, left_size = one.begin[at], other.begin[at], size[at]
+    for step in range(STEPS + 1):
+        live = np.flatnonzero(left_size > step)
+        if len(live) < len(at):
+            at, left, right, left_size = at[live], left[live], right[live], left_size[live]
+        if step == STEPS or not len(at):
+            break
+        differs = one.codes[left + step] != other.codes[right + step]
+        if differs.any():
+            same[at[differs]] = False
+    for place, a, b, length in zip(at.tolist(), left.tolist(), right.tolist(), left_size.tolist()):
+        same[place] &= np.array_equal(one.codes[a:a + length], other.codes[b:b + length])
     return same
 
 
@@ -84,7 +95,7 @@ class Memory:
         self.hashes = np.zeros(0, dtype=np.uint64)
         self.places = np.zeros(0, dtype=np.int64)
         self.sizes = np.zeros(0, dtype=np.int32)
-        self.begin = np.zeros(0, dtype=np.int64)
+        self.begin = np.zeros(0, dtype=np.int64)  # of its characters in `codes`
         self.end = np.zeros(0, dtype=np.int64)
         self.pool = np.zeros(1 << 20, dtype="<u4")
         self.codes = np.zeros(1 << 20, dtype="<u2")
