@@ -36,7 +36,7 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, floor: int = HOT_FL
             key, F.least(F.ceil(F.col("copies") / floor), F.lit(MOST_SALTS)).cast("int").alias(f"{name}_salts")))
         sides.append((rows, name, None if hot.isEmpty() else hot))
     if all(hot is None for _, _, hot in sides):
-        return left.join(right, key)
+        return left.join(right.hint("merge"), key)
     salted = []
     for rows, name, own in sides:
         _, other, theirs = next(side for side in sides if side[1] != name)
@@ -46,7 +46,7 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, floor: int = HOT_FL
         rows = rows.withColumn(name, F.pmod(spread, F.coalesce(f"{name}_salts", F.lit(1))).cast("int"))
         rows = rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(f"{other}_salts", F.lit(1)) - 1)))
         salted.append(rows.drop(f"{name}_salts", f"{other}_salts"))
-    return salted[0].join(salted[1], [key, "_i", "_j"]).drop("_i", "_j")
+    return salted[0].join(salted[1].hint("merge"), [key, "_i", "_j"]).drop("_i", "_j")
 
 
 def _leveled(rows: DataFrame, span: Sequence[str], width: int, keys: Sequence[str]) -> DataFrame:

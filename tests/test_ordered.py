@@ -165,6 +165,36 @@ def test_spread_join_of_hot_keys(spark):
     assert found.where("k <> 7").count() == 0 and intervals.spread_join(left, right, "k", floor=40).columns == ["k", "a", "b"]
 
 
+def test_span_joins_broadcast_neither_side(spark):
+    """What is exploded into bins looks small to the optimizer, so its estimates must not decide."""
+    left, right = (spark.range(300).selectExpr(f"id AS {name}", "id % 7 AS k") for name in "ab")
+    for floor in (10_000, 20):
+        plan = intervals.spread_join(left, right, "k", floor)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.split("Join Inner", 1)[1].splitlines()[0].count("merge") == 1, plan
+
+
+def test_allotment_of_ranges_end_to_end(spark):
+    """Against brute force, where ranges begin and end together, and without a broadcast of instalments."""
+    rows = spark.createDataFrame([(k, float(100 * k), 0.0, 4 * k) for k in range(1, 6)],
+                                 "loan_id long, principal_amount double, interest_rate double, term_months long")
+    loans = rows.withColumn("created_at", F.lit(BEGIN))
+    paid = [(k, 10 * k + n, BEGIN + timedelta(days=n), amount) for k in (1, 2, 4, 9)
+            for n, amount in enumerate([25.0, 12.5, 12.5, 60.01, 300.0])]
+    payments = spark.createDataFrame(paid, "loan_id long, payment_id long, payment_date timestamp, amount double")
+    tables = {"loans": loans, "loan_payments": payments.withColumn("status", F.lit("PAID"))}
+    wanted = Counter()
+    for k in (1, 2, 4):
+        due = [(number, 2500 * (number - 1) + 1, 2500 * number) for number in range(1, 4 * k + 1)]
+        until = 0
+        for _, payment, _, amount in (one for one in paid if one[0] == k):
+            begin, until = until + 1, until + round(amount * 100)
+            wanted += Counter((k, number, payment, min(until, high) - max(begin, low) + 1)
+                              for number, low, high in due if low <= until and begin <= high)
+    found = allotment.allotted(tables.__getitem__)
+    assert Counter(map(tuple, found.collect())) == wanted
+    assert "BroadcastNestedLoopJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_allotment_with_large_loans(spark):
     """The same allotment when a loan's payments are cut into slices."""
     silver = lake_over(spark, SMALL).silver
