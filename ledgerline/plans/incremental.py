@@ -27,11 +27,12 @@ from pyspark.sql import types as T
 from ledgerline.model import ENTITIES
 from ledgerline.operators.checks import stack
 from ledgerline.operators.keys import matched_keys, unmatched_keys
-from ledgerline.operators.lookup import lookup
+from ledgerline.operators.lookup import lookup, measured_bytes
+from ledgerline.operators.sieve import Sieve
 from ledgerline.plans import gold, silver
 from ledgerline.plans.bronze import add_partition_columns
-from ledgerline.session import materialise
-from ledgerline.sources.files import conform, exists, scan, write_table
+from ledgerline.session import broadcast_budget, materialise
+from ledgerline.sources.files import conform, exists, remove, scan, write_table
 
 BATCH = T.StructField("batch", T.IntegerType())
 GROUP = ("account_id", "merchant_id", "transaction_date", "transaction_type", "status")
@@ -109,13 +110,28 @@ class IncrementalLake:
         keys = self._read("replaced", name, key, range(1, upto + 1))
         return keys.groupBy(ENTITIES[name].key).agg(F.max("batch").alias("replaced"))
 
-    def checked(self, name: str, upto: int | None = None) -> DataFrame:
-        """All rows with their error after batch `upto`, NULL for valid ones."""
+    def checked(self, name: str, upto: int | None = None, among: DataFrame | None = None) -> DataFrame:
+        """All rows with their error after batch `upto`, NULL for valid ones; only those with a key in `among`, if given.
+
+        Where the replaced keys are too many to broadcast, only rows that a sieve of them lets through are shuffled. Rows of the
+        last batch cannot have been replaced.
+        """
         last = self.committed() if upto is None else upto
-        schema = ENTITIES[name].quarantine_schema
+        key, schema = ENTITIES[name].key, ENTITIES[name].quarantine_schema
         rows = self._read("checked", name, schema, range(1, last + 1))
-        placed = lookup(rows, self._replaced(name, last), ENTITIES[name].key, "left")
-        return placed.where("replaced IS NULL OR batch >= replaced").select(schema.names)
+        if among is not None:
+            rows = lookup(rows, among, key, sparse=True)
+        if last < 2:  # the first batch replaces nothing
+            return rows.select(schema.names)
+        replaced = materialise(self._replaced(name, last))
+        stays = []
+        # `among` has just shuffled its few rows.
+        if among is None and measured_bytes(replaced) > broadcast_budget(self.spark):
+            rows = Sieve(replaced, key).marked(rows, "_maybe")
+            possible = F.col("_maybe") & (F.col("batch") < last)
+            stays, rows = [rows.where(~possible)], rows.where(possible)
+        placed = lookup(rows, replaced, key, "left").where("replaced IS NULL OR batch >= replaced")
+        return reduce(DataFrame.unionByName, [part.select(schema.names) for part in (*stays, placed)])
 
     def silver(self, name: str, upto: int | None = None) -> DataFrame:
         return silver.valid_rows(name, self.checked(name, upto))
@@ -174,10 +190,14 @@ class IncrementalLake:
         write_table(self.dirty_keys(name, batch), self.path("replaced", name, batch))
         dirty = scan(self.spark, self.path("replaced", name, batch), key)
         affected = self._new(name, batch)
-        if batch > 1:
-            affected = affected.unionByName(lookup(self.bronze(name, batch - 1), dirty, entity.key, sparse=True))
+        if batch > 1:  # written once: every key set and the rows themselves are read from it
+            old = lookup(self.bronze(name, batch - 1), dirty, entity.key, sparse=True)
+            write_table(affected.unionByName(old), self.path("affected", name, batch))
+            affected = scan(self.spark, self.path("affected", name, batch), entity.bronze_schema)
         tables = lambda other: affected if other == name else self.bronze(other, batch)
-        write_table(silver.checked(name, tables), self.path("checked", name, batch))
+        write_table(reduce(DataFrame.unionByName, silver.checked_parts(name, tables)), self.path("checked", name, batch))
+        if batch > 1:
+            remove(self.spark, self.path("affected", name, batch))
 
     def _movements(self, rows: DataFrame) -> DataFrame:
         return rows.withColumn("transaction_date", F.to_date("transaction_timestamp"))
@@ -192,7 +212,7 @@ class IncrementalLake:
         parts = [collect_state(prepared(rows), by, state, 1)]
         if batch > 1:
             dirty = scan(self.spark, self.path("replaced", name, batch), key)
-            taken = lookup(self.silver(name, batch - 1), dirty, entity.key, sparse=True)
+            taken = silver.valid_rows(name, self.checked(name, batch - 1, among=dirty))
             parts.append(collect_state(prepared(taken), by, state, -1))
         write_table(stack(parts), self.path("state", kept, batch))
 

@@ -138,3 +138,18 @@ def test_the_flow_takes_deliveries(spark, batches, folder):
 def test_only_key_columns_of_old_rows_are_read_for_dirty_keys(lake):
     plan = lake.dirty_keys("transactions", 3)._jdf.queryExecution().executedPlan().toString()
     assert "amount" not in plan and "CartesianProduct" not in plan
+
+
+def test_rows_that_stay_are_not_shuffled(spark, lake, no_broadcast):
+    """With more replaced keys than can be broadcast, only rows that may have been replaced meet them in a shuffle."""
+    found = lake.checked("transactions")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Union") == 1 and "Join LeftOuter" in plan
+    assert bag(found) == bag(silver.checked("transactions", full(spark, 3)))
+
+
+def test_rows_of_some_keys(spark, lake):
+    keys = spark.createDataFrame([(101,), (104,), (999,)], "transaction_id long")
+    for upto in (1, 2, 3):
+        assert bag(lake.checked("transactions", upto, among=keys)) == bag(
+            lake.checked("transactions", upto).where("transaction_id IN (101, 104, 999)"))
