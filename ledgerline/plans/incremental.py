@@ -18,7 +18,7 @@ overwrites what it left. Readers see committed batches only.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +56,17 @@ LOAN_STATE: dict[str, tuple[str, str]] = {
     "amount_cents": ("try_sum(try_cast(rint((CASE WHEN status = 'PAID' THEN amount ELSE 0D END) * 100) AS bigint))", "try_sum"),
     "amount_odd": ("count_if(status = 'PAID' AND NOT coalesce(try_cast(rint(amount * 100) AS bigint) / 100D = amount, false))", "sum"),
 }
+
+
+def _movements(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("transaction_date", F.to_date("transaction_timestamp"))
+
+
+# Kept state -> (the entity whose rows it adds up, how they are prepared, its groups, its columns).
+KEPT: dict[str, tuple[str, Callable[[DataFrame], DataFrame], tuple[str, ...], dict[str, tuple[str, str]]]] = {
+    "account_day": ("transactions", _movements, GROUP, STATE),
+    "loan": ("loan_payments", lambda rows: rows, ("loan_id",), LOAN_STATE),
+}
 TAKEN = "taken_back"  # rows that were taken back from a group
 TOTAL = "coalesce(CASE WHEN amount_odd = 0 THEN amount_cents / 100D END, amount_sum)"  # as the full run adds money up
 
@@ -85,6 +96,10 @@ class IncrementalLake:
     def path(self, layer: str, name: str, batch: int) -> str:
         return f"{self.root}/{layer}/{name}/batch={batch}"
 
+    def _written(self, layer: str, name: str, batch: int) -> str:
+        """The path of a part that is there; `apply` has written it."""
+        return self.path(layer, name, batch)
+
     def committed(self) -> int:
         """The number of the last committed batch, 0 if there is none."""
         batch = 0
@@ -95,7 +110,7 @@ class IncrementalLake:
     def _read(self, layer: str, name: str, schema: T.StructType, batches: range) -> DataFrame:
         """The rows of some batches, with their number in `batch`."""
         whole = T.StructType([*schema.fields, BATCH])
-        paths = [self.path(layer, name, batch) for batch in batches]
+        paths = [self._written(layer, name, batch) for batch in batches]
         if not paths:
             return self.spark.createDataFrame([], whole)
         return self.spark.read.schema(whole).option("basePath", f"{self.root}/{layer}/{name}").parquet(*paths)
@@ -152,18 +167,21 @@ class IncrementalLake:
             return
         if batch != done + 1:
             raise ValueError(f"batch {batch} cannot follow batch {done}")
-        for name, entity in ENTITIES.items():
-            rows = increment.get(name)
-            if rows is None:
-                rows = self.spark.createDataFrame([], entity.columns)
-            rows = add_partition_columns(conform(rows, entity.columns), entity.date_column)
-            write_table(rows, self.path("bronze", name, batch))
+        for name in ENTITIES:
+            self._take(name, batch, increment.get(name))
         for name in ENTITIES:
             self._check(name, batch)
-        self._collect("transactions", "account_day", self._movements, GROUP, STATE, batch)
-        self._collect("loan_payments", "loan", lambda rows: rows, ("loan_id",), LOAN_STATE, batch)
+        for kept in KEPT:
+            self._collect(kept, batch)
         write_table(self.spark.range(1).select(F.lit(batch).alias("number")), self.path("commits", "batches", batch))
 
+    def _take(self, name: str, batch: int, rows: DataFrame | None) -> None:
+        entity = ENTITIES[name]
+        if rows is None:
+            rows = self.spark.createDataFrame([], entity.columns)
+        rows = add_partition_columns(conform(rows, entity.columns), entity.date_column)
+        write_table(rows, self.path("bronze", name, batch))
+
     def _new(self, name: str, batch: int) -> DataFrame:
         return self._read("bronze", name, ENTITIES[name].bronze_schema, range(batch, batch + 1)).drop("batch")
 
@@ -199,19 +217,14 @@ class IncrementalLake:
         if batch > 1:
             remove(self.spark, self.path("affected", name, batch))
 
-    def _movements(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn("transaction_date", F.to_date("transaction_timestamp"))
-
-    def _collect(
-        self, name: str, kept: str, prepared: Callable[[DataFrame], DataFrame], by: Sequence[str],
-        state: Mapping[str, tuple[str, str]], batch: int,
-    ) -> None:
+    def _collect(self, kept: str, batch: int) -> None:
+        name, prepared, by, state = KEPT[kept]
         entity = ENTITIES[name]
         key = T.StructType([entity.columns[entity.key]])
-        rows = silver.valid_rows(name, scan(self.spark, self.path("checked", name, batch), entity.quarantine_schema))
+        rows = silver.valid_rows(name, scan(self.spark, self._written("checked", name, batch), entity.quarantine_schema))
         parts = [collect_state(prepared(rows), by, state, 1)]
         if batch > 1:
-            dirty = scan(self.spark, self.path("replaced", name, batch), key)
+            dirty = scan(self.spark, self._written("replaced", name, batch), key)
             taken = silver.valid_rows(name, self.checked(name, batch - 1, among=dirty))
             parts.append(collect_state(prepared(taken), by, state, -1))
         write_table(stack(parts), self.path("state", kept, batch))
@@ -220,7 +233,7 @@ class IncrementalLake:
 
     def _state(self, kept: str) -> DataFrame:
         # Written by `_collect`, so the schema is the first batch's; all batches have the same.
-        paths = [self.path("state", kept, batch) for batch in range(1, self.committed() + 1)]
+        paths = [self._written("state", kept, batch) for batch in range(1, self.committed() + 1)]
         return self.spark.read.parquet(*paths)
 
     def _repaired(self, merged: DataFrame, by: Sequence[str], wanted: Mapping[str, str]) -> DataFrame:
@@ -229,7 +242,7 @@ class IncrementalLake:
         left = merged.where("n > 0")
         key = F.struct(*by).alias("_group")
         touched = materialise(left.where(f"{TAKEN} > 0").select(key))
-        rows = self._movements(self.silver("transactions")).select(*by, "amount", "transaction_timestamp").withColumn("_group", key)
+        rows = _movements(self.silver("transactions")).select(*by, "amount", "transaction_timestamp").withColumn("_group", key)
         own = lookup(rows, touched, "_group", sparse=True).groupBy("_group").agg(
             *(F.expr(STATE[name][0]).alias(f"_own_{name}") for name in wanted))
         found = lookup(left.withColumn("_group", key), materialise(own), "_group", "left")
@@ -292,11 +305,43 @@ MODELS: dict[str, Callable[[IncrementalLake], DataFrame]] = {
 }
 
 
-def deal_increments(spark: SparkSession, tables: Callable[[str], DataFrame], folder: str, count: int) -> list[dict[str, DataFrame]]:
-    """Tables dealt row by row over `count` increments, written under `folder`: copies of a row, and rows and their parents,
-    come in different ones."""
-    for name, entity in ENTITIES.items():
-        dealt = conform(tables(name), entity.columns).withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(count)).cast("int"))
-        write_table(dealt, f"{folder}/{name}", ["part"], gather=False)
-    read = lambda name, part: spark.read.schema(ENTITIES[name].columns).parquet(f"{folder}/{name}/part={part}")
-    return [{name: read(name, part) for name in ENTITIES} for part in range(count)]
+class DealtLake(IncrementalLake):
+    """A lake that has taken in `count` increments dealt from whole tables, each part of it written when it is first asked for.
+
+    A part is written from what `apply` would have written it from, by the same steps: an entity is checked against its own
+    Bronze rows and its parents' alone, so whoever asks for accounts has neither transactions nor Gold states made.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, tables: Callable[[str], DataFrame], count: int):
+        super().__init__(spark, root)
+        self._increments = cache(lambda name: deal_increments(spark, name, tables(name), f"{self.root}/increments", count))
+        self._count = count
+        self._there: set[tuple[str, str, int]] = set()
+
+    def committed(self) -> int:
+        return self._count
+
+    def apply(self, batch: int, increment: Mapping[str, DataFrame]) -> None:
+        raise ValueError("a dealt lake has all its increments")
+
+    def _written(self, layer: str, name: str, batch: int) -> str:
+        made = "checked" if layer == "replaced" else layer  # one step writes both
+        if (made, name, batch) not in self._there:
+            if made == "bronze":
+                self._take(name, batch, self._increments(name)[batch - 1])
+            elif made == "checked":
+                self._check(name, batch)
+            else:
+                self._collect(name, batch)
+            self._there.add((made, name, batch))
+        return self.path(layer, name, batch)
+
+
+def deal_increments(spark: SparkSession, name: str, rows: DataFrame, folder: str, count: int) -> list[DataFrame]:
+    """The rows of an entity dealt one by one over `count` increments, written under `folder`: copies of a row, and rows and
+    their parents, come in different ones."""
+    schema = ENTITIES[name].columns
+    dealt = conform(rows, schema).withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(count)).cast("int"))
+    write_table(dealt, f"{folder}/{name}", ["part"], gather=False)
+    written = scan(spark, f"{folder}/{name}", T.StructType([*schema.fields, T.StructField("part", T.IntegerType())]))
+    return [written.where(F.col("part") == part).drop("part") for part in range(count)]  # a part may have no rows

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 from datetime import timedelta
 
@@ -11,7 +12,7 @@ from ledgerline.model import ENTITIES
 from ledgerline.plans import gold, incremental, silver
 from ledgerline.plans import run as flows
 from ledgerline.plans.bronze import add_partition_columns
-from ledgerline.plans.incremental import IncrementalLake
+from ledgerline.plans.incremental import DealtLake, IncrementalLake
 from tests.samples import MOMENT, frame
 
 DAY = timedelta(days=1)
@@ -153,3 +154,16 @@ def test_rows_of_some_keys(spark, lake):
     for upto in (1, 2, 3):
         assert bag(lake.checked("transactions", upto, among=keys)) == bag(
             lake.checked("transactions", upto).where("transaction_id IN (101, 104, 999)"))
+
+
+def test_a_dealt_lake_makes_what_is_asked_for(spark, folder):
+    """Accounts need their parents' Bronze rows, not transactions; Gold needs states, dealt and built as by `apply`."""
+    lake = DealtLake(spark, folder, lambda name: full(spark, 3)(name), 3)
+    columns = ENTITIES["accounts"].bronze_schema.names
+    assert bag(lake.silver("accounts").select(columns)) == bag(silver.valid_rows("accounts", silver.checked("accounts", full(spark, 3))))
+    assert sorted(os.listdir(f"{folder}/increments")) == ["accounts", "customers"]
+    assert os.listdir(f"{folder}/checked") == ["accounts"] and not os.path.exists(f"{folder}/state")
+    checked = {name: silver.valid_rows(name, silver.checked(name, full(spark, 3))) for name in ENTITIES}
+    names = gold.SCHEMAS["loan_portfolio"].names
+    assert bag(lake.loan_portfolio().select(names)) == bag(gold.MODELS["loan_portfolio"](checked.__getitem__).select(names))
+    assert os.listdir(f"{folder}/state") == ["loan"]
