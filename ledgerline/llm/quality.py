@@ -67,6 +67,28 @@ def logistic(x: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(weights[0] / scale), float(weights[1])
 
 
+def logistic_over(rows: DataFrame, x: str, label: str) -> tuple[float, float]:
+    """The same of the columns `x` and `label` (0 or 1) of all rows: each step is one aggregate over them."""
+    whole = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("good"), F.avg(F.abs(x)).alias("scale")).first()
+    good, bad, scale = whole.good, whole.n - whole.good, whole.scale or 1.0
+    weights = np.array([1.0, 0.0])
+    for _ in range(50):
+        at = F.col(x) / scale
+        reach = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), at * float(weights[0]) + float(weights[1])))
+        parts = rows.select(at.alias("at"), (1 / (1 + F.exp(-reach))).alias("p"), F.when(
+            F.col(label) == 1, (good + 1) / (good + 2)).otherwise(1 / (bad + 2)).alias("target"))
+        miss, slack = F.col("p") - F.col("target"), F.col("p") * (1 - F.col("p"))
+        sums = parts.agg(*(F.sum(part) for part in (
+            miss * F.col("at"), miss, slack * F.col("at") * F.col("at"), slack * F.col("at"), slack))).first()
+        gradient = np.array(sums[:2]) + 1e-3 * weights
+        hessian = np.array([[sums[2], sums[3]], [sums[3], sums[4]]]) + 1e-3 * np.eye(2)
+        step = np.linalg.solve(hessian, gradient)
+        weights = weights - np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-8:
+            break
+    return float(weights[0] / scale), float(weights[1])
+
+
 def fit_rows(rows: np.ndarray, labels: np.ndarray, shrinkage: float = SHRINKAGE) -> Model:
     """The model of labelled statistics."""
     counts = [int((labels == kind).sum()) for kind in (0, 1)]

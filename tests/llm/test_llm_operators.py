@@ -345,6 +345,39 @@ def test_short_secrets_are_candidates(spark):
     assert not any(kind == "learned" for _, _, kind in secret_scan.find(["note: nothing and Capital Letters Another"], network)[0])
 
 
+def test_the_network_learns_from_all_documents(spark):
+    """The only findings are in the documents of the largest hashes, of more documents than any bound was."""
+    ids = spark.range(0, 24_000, 1, 4).withColumnRenamed("id", "doc_id")
+    last = [row.doc_id for row in ids.orderBy(F.desc(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40)))).limit(40).collect()]
+    value = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 10)
+    docs = ids.withColumn("text", F.when(F.col("doc_id").isin(last), F.concat(F.lit("password: "), value)).otherwise(
+        F.concat(F.lit("Capital Letters Another"), F.col("doc_id") % 50)))
+    assert secret_scan.fit(docs) is not None
+
+
+def test_shards_learn_together(spark, monkeypatch):
+    """Several shards whose networks are averaged in two steps; documents that repeat teach once."""
+    monkeypatch.setattr(secret_scan, "SHARD_ROWS", 100)
+    monkeypatch.setattr(secret_scan, "MERGED", 2)
+    chance = random.Random(10)
+    value = lambda: "".join(chance.choice("abcdefghijkmnpqrstuvwxyz23456789QRSTUVWXYZ") for _ in range(10))
+    rows = [(at, f"some text password: {value()} and Capital{at} Letters note: nothing{at} api_key = {value()} Another") for at in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    network = secret_scan.fit(docs)
+    again = secret_scan.fit(docs.unionAll(docs).repartition(3))
+    assert all(np.array_equal(one, other) for one, other in zip(network[:4], again[:4]))
+    texts = [f"some text pwd: {value()} and Capital" for _ in range(50)]
+    assert sum([kind for *_, kind in spans] == ["learned"] for spans in secret_scan.find(texts, network)) >= 45
+
+
+def test_the_curve_of_all_rows_is_that_of_the_driver(spark):
+    chance = np.random.default_rng(3)
+    x = chance.normal(0, 3, 500)
+    labels = (x + chance.normal(0, 2, 500) > 1).astype(int)
+    rows = spark.createDataFrame(list(zip(x.tolist(), labels.tolist())), "x double, label int")
+    assert np.allclose(quality.logistic_over(rows, "x", "label"), quality.logistic(x, labels), atol=1e-6)
+
+
 def test_token_lengths(docs):
     held = token_lengths.histogram(docs).cache()
     lengths = [len(library_ids("byte_bpe_50k.json", text, 0)) - 1 for _, text in pairs(docs)]
