@@ -113,7 +113,7 @@ class IncrementalLake:
         paths = [self._written(layer, name, batch) for batch in batches]
         if not paths:
             return self.spark.createDataFrame([], whole)
-        return self.spark.read.schema(whole).option("basePath", f"{self.root}/{layer}/{name}").parquet(*paths)
+        return self.spark.read.schema(whole).option("basePath", paths[0].rsplit("/", 1)[0]).parquet(*paths)
 
     def bronze(self, name: str, upto: int | None = None) -> DataFrame:
         last = self.committed() if upto is None else upto
@@ -314,10 +314,13 @@ class DealtLake(IncrementalLake):
 
     def __init__(self, spark: SparkSession, root: str, tables: Callable[[str], DataFrame], count: int):
         super().__init__(spark, root)
-        self._increments = cache(lambda name: deal_increments(spark, name, tables(name), f"{self.root}/increments", count))
+        self._deal = cache(lambda name: deal_increments(name, tables(name), f"{self.root}/increments", count))
         self._count = count
         self._there: set[tuple[str, str, int]] = set()
 
+    def path(self, layer: str, name: str, batch: int) -> str:
+        return super().path("increments" if layer == "bronze" else layer, name, batch)
+
     def committed(self) -> int:
         return self._count
 
@@ -326,10 +329,10 @@ class DealtLake(IncrementalLake):
 
     def _written(self, layer: str, name: str, batch: int) -> str:
         made = "checked" if layer == "replaced" else layer  # one step writes both
-        if (made, name, batch) not in self._there:
-            if made == "bronze":
-                self._take(name, batch, self._increments(name)[batch - 1])
-            elif made == "checked":
+        if made == "bronze":
+            self._deal(name)  # one step writes those of all batches
+        elif (made, name, batch) not in self._there:
+            if made == "checked":
                 self._check(name, batch)
             else:
                 self._collect(name, batch)
@@ -337,11 +340,13 @@ class DealtLake(IncrementalLake):
         return self.path(layer, name, batch)
 
 
-def deal_increments(spark: SparkSession, name: str, rows: DataFrame, folder: str, count: int) -> list[DataFrame]:
-    """The rows of an entity dealt one by one over `count` increments, written under `folder`: copies of a row, and rows and
-    their parents, come in different ones."""
-    schema = ENTITIES[name].columns
-    dealt = conform(rows, schema).withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(count)).cast("int"))
-    write_table(dealt, f"{folder}/{name}", ["part"], gather=False)
-    written = scan(spark, f"{folder}/{name}", T.StructType([*schema.fields, T.StructField("part", T.IntegerType())]))
-    return [written.where(F.col("part") == part).drop("part") for part in range(count)]  # a part may have no rows
+def deal_increments(name: str, rows: DataFrame, folder: str, count: int) -> None:
+    """The Bronze rows of an entity dealt one by one over `count` increments, written under `folder` as the batches of a lake:
+    copies of a row, and rows and their parents, come in different ones. Every increment gets its folder, also without rows."""
+    entity = ENTITIES[name]
+    bronze = add_partition_columns(conform(rows, entity.columns), entity.date_column)
+    dealt = bronze.withColumn("batch", (F.pmod(F.monotonically_increasing_id(), F.lit(count)) + 1).cast("int"))
+    write_table(dealt, f"{folder}/{name}", ["batch"], gather=False)
+    for batch in range(1, count + 1):
+        if not exists(rows.sparkSession, f"{folder}/{name}/batch={batch}"):
+            write_table(bronze.limit(0), f"{folder}/{name}/batch={batch}")

@@ -167,3 +167,13 @@ def test_a_dealt_lake_makes_what_is_asked_for(spark, folder):
     names = gold.SCHEMAS["loan_portfolio"].names
     assert bag(lake.loan_portfolio().select(names)) == bag(gold.MODELS["loan_portfolio"](checked.__getitem__).select(names))
     assert os.listdir(f"{folder}/state") == ["loan"]
+
+
+def test_a_dealt_lake_writes_bronze_rows_once(spark, folder):
+    """The dealt parts are the Bronze batches themselves, those without rows among them."""
+    few = lambda name: full(spark, 3)(name).limit(1) if name == "merchants" else full(spark, 3)(name)
+    lake = DealtLake(spark, folder, few, 3)
+    for name in ("merchants", "transactions"):
+        assert bag(lake.bronze(name)) == bag(few(name)) and len(os.listdir(f"{folder}/increments/{name}")) >= 3
+    assert not os.path.exists(f"{folder}/bronze")
+    assert bag(lake.checked("merchants")) == bag(silver.checked("merchants", few))
