@@ -18,11 +18,12 @@ WORDS = 64  # numbers of 64 bits in a row of the sieve
 
 
 class Sieve:
-    """Bits for the non-NULL values of `key` in `keys`."""
+    """Bits for the non-NULL values of `key` in `keys`. Sieves of another `seed` let other keys through by chance."""
 
-    def __init__(self, keys: DataFrame, key: str):
+    def __init__(self, keys: DataFrame, key: str, seed: int = 0):
         wanted = max(1, keys.count() * BITS_A_KEY)
         self.key = key
+        self._seed = seed
         self.bits = min(max(LEAST_BITS, (wanted - 1).bit_length()), MOST_BITS)
         place = keys.where(F.col(key).isNotNull()).select(self._place().alias("place"))
         words = place.groupBy(F.shiftright("place", 6).alias("word")).agg(
@@ -33,7 +34,8 @@ class Sieve:
         self.rows = materialise(rows.select("_sieve_row", whole.alias("_sieve_words")))
 
     def _place(self) -> Column:
-        return F.xxhash64(self.key).bitwiseAND((1 << self.bits) - 1)
+        seeded = (self.key, F.lit(self._seed)) if self._seed else (self.key,)
+        return F.xxhash64(*seeded).bitwiseAND((1 << self.bits) - 1)
 
     def marked(self, rows: DataFrame, name: str) -> DataFrame:
         """`rows` with a boolean column: False where the key is certainly not in the set, or NULL."""

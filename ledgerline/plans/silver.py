@@ -3,7 +3,7 @@
 A row carries the first error found, in the order row rules, reference, savings-account card rule, duplicate. The
 reference and duplicate checks come down to key sets computed from single columns (see operators.keys); the wide rows
 are then marked through `lookup`, which leaves them unshuffled as long as the offending keys are few. Where they are many,
-`checked_parts` has only those rows shuffled that may be offending.
+`checked_parts` marks them through `Membership`, which shuffles keys alone.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from ledgerline.functions.text import normalise, normalised_columns
 from ledgerline.model import ENTITIES, Entity, Reference
 from ledgerline.operators.keys import matched_keys, repeated_keys, unmatched_keys
 from ledgerline.operators.lookup import lookup, measured_bytes
+from ledgerline.operators.membership import Membership
 from ledgerline.operators.sieve import Sieve
 from ledgerline.session import broadcast_budget, materialise
 
@@ -130,13 +131,19 @@ def _finish(name: str, rows: DataFrame, errors: list[Column]) -> DataFrame:
 
 
 def _parts(name: str, marks: Sequence[Marks], errors: list[Column], tables: Tables) -> list[DataFrame]:
-    """All rows with their error, in parts: one that is shuffled nowhere and, where key sets are too large to broadcast, one of
+    """All rows with their error, in parts: one that is shuffled nowhere and, where key sets are too large for `Membership`, one of
     the rows that a sieve of these keys lets through, the only ones that meet them in a shuffle."""
     found = [first_failure(RULES[name]), *errors]
     rows = normalised(name, tables)
     budget = broadcast_budget(rows.sparkSession)
     wide = [one for one in marks if measured_bytes(one.members) > budget]
     rows = _mark(rows, [one for one in marks if one not in wide], tables(name), None)
+    for one in list(wide):
+        sets = {flag: Membership(one.members.where(flag), one.key, tables(name)) for flag in one.flags}
+        if all(members.settled for members in sets.values()):
+            for flag, members in sets.items():
+                rows = members.marked(rows, flag)
+            wide.remove(one)
     if not wide:
         return [_finish(name, rows, found)]
     names = [f"_maybe_{number}" for number in range(len(wide))]

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators import quantiles
+from ledgerline.operators import membership, quantiles, sieve
 from ledgerline.operators.copies import duplicate_rows
 from ledgerline.operators.lookup import lookup
 from ledgerline.operators.quantiles import exact_quantiles
@@ -150,3 +150,38 @@ def test_quantiles_take_few_small_passes(spark, monkeypatch):
     rows = spark.range(30_000).selectExpr("CAST(id AS DOUBLE) / 7 AS amount")
     exact_quantiles(rows, "amount", (0.25, 0.5, 0.75), ("a", "b", "c")).first()
     assert len(sizes) <= 3 and all(spans <= 6 and rows <= spans * (quantiles.BUCKETS + 3) for spans, rows in sizes)
+
+
+@pytest.mark.parametrize("levels", [1, 4])
+def test_membership_beyond_the_budget_shuffles_no_rows(spark, monkeypatch, levels):
+    """Exact also where a sieve lets many others through, with NULL and repeated keys; the rows stay where they are."""
+    if levels > 1:
+        monkeypatch.setattr(sieve, "MOST_BITS", 14)
+        monkeypatch.setattr(membership, "MOST_BITS", 14)
+    spark.conf.set(BROADCAST_BUDGET_CONF, "4000")
+    try:
+        keys = spark.range(0, 30_000, 3).select(F.col("id").alias("key"))
+        rows = spark.range(60_000).select("id", F.when(F.col("id") % 50 != 3, F.col("id") % 31_000).alias("key"))
+        found = membership.Membership(keys, "key", rows)
+        assert found.settled and len(found._levels) >= levels
+        marked = found.marked(rows, "member")
+        assert marked.where("member != coalesce(key < 30000 AND key % 3 = 0, false)").count() == 0 == marked.where("member IS NULL").count()
+        assert marked.columns == ["id", "key", "member"] and marked.count() == 60_000
+        assert found.kept(rows).count() + found.dropped(rows).count() == 60_000
+        plan = executed(marked)
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.unset(BROADCAST_BUDGET_CONF)
+
+
+@pytest.mark.parametrize("name", ["transactions", "cards"])
+def test_silver_beyond_a_budget_shuffles_keys_alone(spark, written, name):
+    wanted = Counter(map(repr, silver.checked(name, written).collect()))
+    spark.conf.set(BROADCAST_BUDGET_CONF, "500")
+    try:
+        parts = silver.checked_parts(name, written)
+        assert len(parts) == 1 and "_sieve_words" in executed(parts[0])
+        assert "Exchange hashpartitioning" not in executed(parts[0]) and "SortMergeJoin" not in executed(parts[0])
+        assert Counter(map(repr, parts[0].collect())) == wanted
+    finally:
+        spark.conf.unset(BROADCAST_BUDGET_CONF)
