@@ -28,12 +28,14 @@ from ledgerline.model import ENTITIES
 from ledgerline.operators.checks import stack
 from ledgerline.operators.keys import matched_keys, unmatched_keys
 from ledgerline.operators.lookup import lookup, measured_bytes
+from ledgerline.operators.membership import Membership
 from ledgerline.operators.sieve import Sieve
 from ledgerline.plans import gold, silver
 from ledgerline.plans.bronze import add_partition_columns
 from ledgerline.session import broadcast_budget, materialise
 from ledgerline.sources.files import conform, exists, remove, scan, write_table
 
+FEW_BATCHES = 4  # as many have their replaced keys sieved one by one
 BATCH = T.StructField("batch", T.IntegerType())
 GROUP = ("account_id", "merchant_id", "transaction_date", "transaction_type", "status")
 # State column -> (its value over rows, how parts are merged). What is summed can be taken back, what is not cannot.
@@ -86,6 +88,10 @@ def merge_state(parts: DataFrame, by: Sequence[str], state: Mapping[str, tuple[s
     return parts.groupBy(*by).agg(*(F.expr(f"{merge}({name})").alias(name) for name, (_, merge) in state.items()), F.sum(TAKEN).alias(TAKEN))
 
 
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0).select(*(F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields))
+
+
 class IncrementalLake:
     """A lake under `root` that takes increments numbered from 1."""
 
@@ -112,7 +118,7 @@ class IncrementalLake:
         whole = T.StructType([*schema.fields, BATCH])
         paths = [self._written(layer, name, batch) for batch in batches]
         if not paths:
-            return self.spark.createDataFrame([], whole)
+            return _empty(self.spark, whole)
         return self.spark.read.schema(whole).option("basePath", paths[0].rsplit("/", 1)[0]).parquet(*paths)
 
     def bronze(self, name: str, upto: int | None = None) -> DataFrame:
@@ -128,26 +134,37 @@ class IncrementalLake:
     def checked(self, name: str, upto: int | None = None, among: DataFrame | None = None) -> DataFrame:
         """All rows with their error after batch `upto`, NULL for valid ones; only those with a key in `among`, if given.
 
-        Where the replaced keys are too many to broadcast, only rows that a sieve of them lets through are shuffled. Rows of the
-        last batch cannot have been replaced.
+        Where the replaced keys are too many to broadcast, each of a few batches drops the keys replaced after it, unshuffled; of
+        many batches the rows that a sieve lets through are shuffled. Rows of the last batch cannot have been replaced.
         """
         last = self.committed() if upto is None else upto
         key, schema = ENTITIES[name].key, ENTITIES[name].quarantine_schema
         rows = self._read("checked", name, schema, range(1, last + 1))
         if among is not None:
-            rows = lookup(rows, among, key, sparse=True)
+            among = Membership(materialise(among), key, rows)
+            rows = among.kept(rows)
         if last < 2:  # the first batch replaces nothing
             return rows.select(schema.names)
         replaced = materialise(self._replaced(name, last))
         stays = []
-        # `among` has just shuffled its few rows.
+        # `among` has just left few rows.
         if among is None and measured_bytes(replaced) > broadcast_budget(self.spark):
+            if last <= FEW_BATCHES and broadcast_budget(self.spark) >= 0:
+                return reduce(DataFrame.unionByName, [
+                    self._still(name, batch, replaced).select(schema.names) for batch in range(1, last + 1)])
             rows = Sieve(replaced, key).marked(rows, "_maybe")
             possible = F.col("_maybe") & (F.col("batch") < last)
             stays, rows = [rows.where(~possible)], rows.where(possible)
         placed = lookup(rows, replaced, key, "left").where("replaced IS NULL OR batch >= replaced")
         return reduce(DataFrame.unionByName, [part.select(schema.names) for part in (*stays, placed)])
 
+    def _still(self, name: str, batch: int, replaced: DataFrame) -> DataFrame:
+        """The checked rows of a batch whose key no later batch has replaced."""
+        key = ENTITIES[name].key
+        rows = self._read("checked", name, ENTITIES[name].quarantine_schema, range(batch, batch + 1))
+        later = materialise(replaced.where(F.col("replaced") > batch).select(key))
+        return Membership(later, key, rows).dropped(rows)
+
     def silver(self, name: str, upto: int | None = None) -> DataFrame:
         return silver.valid_rows(name, self.checked(name, upto))
 
@@ -178,7 +195,7 @@ class IncrementalLake:
     def _take(self, name: str, batch: int, rows: DataFrame | None) -> None:
         entity = ENTITIES[name]
         if rows is None:
-            rows = self.spark.createDataFrame([], entity.columns)
+            rows = _empty(self.spark, entity.columns)
         rows = add_partition_columns(conform(rows, entity.columns), entity.date_column)
         write_table(rows, self.path("bronze", name, batch))
 
@@ -205,11 +222,13 @@ class IncrementalLake:
     def _check(self, name: str, batch: int) -> None:
         entity = ENTITIES[name]
         key = T.StructType([entity.columns[entity.key]])
-        write_table(self.dirty_keys(name, batch), self.path("replaced", name, batch))
+        dirty = self.dirty_keys(name, batch) if batch > 1 else _empty(self.spark, key)
+        write_table(dirty, self.path("replaced", name, batch))
         dirty = scan(self.spark, self.path("replaced", name, batch), key)
         affected = self._new(name, batch)
         if batch > 1:  # written once: every key set and the rows themselves are read from it
-            old = lookup(self.bronze(name, batch - 1), dirty, entity.key, sparse=True)
+            before = self.bronze(name, batch - 1)
+            old = Membership(dirty, entity.key, before).kept(before)
             write_table(affected.unionByName(old), self.path("affected", name, batch))
             affected = scan(self.spark, self.path("affected", name, batch), entity.bronze_schema)
         tables = lambda other: affected if other == name else self.bronze(other, batch)

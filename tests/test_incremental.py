@@ -13,6 +13,7 @@ from ledgerline.plans import gold, incremental, silver
 from ledgerline.plans import run as flows
 from ledgerline.plans.bronze import add_partition_columns
 from ledgerline.plans.incremental import DealtLake, IncrementalLake
+from ledgerline.session import BROADCAST_BUDGET_CONF, materialise
 from tests.samples import MOMENT, frame
 
 DAY = timedelta(days=1)
@@ -177,3 +178,18 @@ def test_a_dealt_lake_writes_bronze_rows_once(spark, folder):
         assert bag(lake.bronze(name)) == bag(few(name)) and len(os.listdir(f"{folder}/increments/{name}")) >= 3
     assert not os.path.exists(f"{folder}/bronze")
     assert bag(lake.checked("merchants")) == bag(silver.checked("merchants", few))
+
+
+def test_rows_that_stay_are_not_shuffled_within_a_budget(spark, lake):
+    """With more replaced keys than can be broadcast, each batch drops them by sieves; nothing of it is shuffled."""
+    wanted = bag(silver.checked("transactions", full(spark, 3)))
+    spark.conf.set(BROADCAST_BUDGET_CONF, "45")
+    try:
+        found = lake.checked("transactions")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "_sieve_words" in plan and "Exchange hashpartitioning" not in plan
+        assert bag(found) == wanted
+        dirty = materialise(lake.dirty_keys("transactions", 3))
+        assert bag(lake.checked("transactions", 2, among=dirty)) == bag(lake.checked("transactions", 2).join(dirty, "transaction_id", "left_semi"))
+    finally:
+        spark.conf.unset(BROADCAST_BUDGET_CONF)
